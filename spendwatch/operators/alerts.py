@@ -31,8 +31,10 @@ def latest_by(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def score_order() -> list:
-    return [F.col("snapshot_ts").desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in SCORE_TIEBREAK]
+def score_order(columns: list[str] | None = None) -> list:
+    """Newest first; ties broken by the remaining score columns present."""
+    ties = [c for c in SCORE_TIEBREAK if columns is None or c in columns]
+    return [F.col("snapshot_ts").desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in ties]
 
 
 def recency_cutoff(p: Params) -> dt.datetime:

@@ -36,7 +36,7 @@ def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
 def stream_alerts(spark: SparkSession, src: str, schema, log_path: str, out: str,
                   baseline: DataFrame, directory: DataFrame, p: Params, checkpoint: str) -> StreamingQuery:
     def process(batch: DataFrame, epoch_id: int) -> None:
-        one_per_key = A.latest_by(batch, ["workspace_id", "cluster_id", "signal"], A.score_order())
+        one_per_key = A.latest_by(batch, ["workspace_id", "cluster_id", "signal"], A.score_order(batch.columns))
         to_send = A.alerts_to_send(one_per_key, read_log(spark, log_path), p)
         to_send = to_send.persist()
         try:
