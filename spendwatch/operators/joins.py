@@ -14,9 +14,19 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     ``limit`` bounds the work: the scan stops once ``max_rows + 1`` rows are
-    seen, so the check stays cheap even when the answer is no.
+    seen, so the check stays cheap even when the answer is no.  The answer is
+    remembered on the DataFrame object, so a side used by several joins is
+    counted once.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    memo = getattr(df, "_spendwatch_rows_checked", None)
+    if memo is not None and memo[0] == max_rows:
+        return memo[1]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    try:
+        df._spendwatch_rows_checked = (max_rows, ok)
+    except AttributeError:
+        pass
+    return ok
 
 
 def broadcast_if_fits(df: DataFrame, max_rows: int) -> DataFrame:
@@ -25,6 +35,12 @@ def broadcast_if_fits(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
+def broadcast_if_known_small(df: DataFrame, known_rows: int, max_rows: int) -> DataFrame:
+    """Broadcast a side whose row count is known without running a job (for
+    example a frame built from a configuration list)."""
+    return F.broadcast(df) if known_rows <= max_rows else df
+
+
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (for example one
     row per workspace, or one row per photon flag); no runtime check."""

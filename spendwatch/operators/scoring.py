@@ -9,7 +9,7 @@ from spendwatch.functions.columns import (
     driver_type, fmt_grouped, fmt_plain, is_photon, log_z, py_bool, py_str, worker_count)
 from spendwatch.functions.rules import ExclusionRules
 from spendwatch.operators.baseline import attach_baseline, baseline_latest
-from spendwatch.operators.joins import bounded_broadcast, broadcast_if_fits
+from spendwatch.operators.joins import bounded_broadcast, broadcast_if_fits, broadcast_if_known_small
 from spendwatch.operators.pricing import rates_with_fallback, sku_by_photon
 from spendwatch.params import Params
 
@@ -36,12 +36,12 @@ def exclusion_reason(inv: DataFrame, rules: ExclusionRules, p: Params) -> DataFr
     id_reason = F.lit(None).cast("string")
     creator_reason = F.lit(None).cast("string")
     if rules.ids:
-        ids = broadcast_if_fits(rules.ids_frame(spark), p.broadcast_max_rows)
+        ids = broadcast_if_known_small(rules.ids_frame(spark), len(rules.ids), p.broadcast_max_rows)
         out = out.join(ids, F.col("cluster_id") == F.col("rule_id"), "left")
         id_reason = F.when(F.col("rule_id").isNotNull(),
                            F.concat(F.lit("cluster_id "), F.col("cluster_id"), F.lit(" in exclusion rules")))
     if rules.creators:
-        creators = broadcast_if_fits(rules.creators_frame(spark), p.broadcast_max_rows)
+        creators = broadcast_if_known_small(rules.creators_frame(spark), len(rules.creators), p.broadcast_max_rows)
         out = out.join(creators, F.col("creator_user_name") == F.col("rule_creator"), "left")
         creator_reason = F.when(F.col("rule_creator").isNotNull(),
                                 F.concat(F.lit("creator "), F.col("creator_user_name"), F.lit(" in exclusion rules")))

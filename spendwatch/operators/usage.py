@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from spendwatch.functions.columns import photon_flag
 from spendwatch.functions.rules import ExclusionRules
-from spendwatch.operators.joins import broadcast_if_fits, price_join
+from spendwatch.operators.joins import broadcast_if_known_small, price_join
 from spendwatch.params import Params
 
 KEYS = ["workspace_id", "cluster_id"]
@@ -59,13 +59,13 @@ def resolve_exclusions(rules: ExclusionRules, history: DataFrame, active: DataFr
     spark = active.sparkSession
     parts = []
     if rules.ids:
-        ids = broadcast_if_fits(rules.ids_frame(spark), max_rows)
+        ids = broadcast_if_known_small(rules.ids_frame(spark), len(rules.ids), max_rows)
         parts.append(active.join(ids, F.col("cluster_id") == F.col("rule_id"), "left_semi"))
     if rules.name_patterns or rules.creators:
         hit = rules.name_matches(F.col("cluster_name"))
         hist = history.select(*KEYS, "cluster_name", "owned_by")
         if rules.creators:
-            creators = broadcast_if_fits(rules.creators_frame(spark), max_rows)
+            creators = broadcast_if_known_small(rules.creators_frame(spark), len(rules.creators), max_rows)
             hist = hist.join(creators, F.col("owned_by") == F.col("rule_creator"), "left")
             hit = hit | F.col("rule_creator").isNotNull()
         matched = hist.where(hit).select(*KEYS)

@@ -7,9 +7,9 @@ import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendwatch.operators import alerts, backtest, baseline, pricing, scoring, usage
+from spendwatch.operators import alerts, backtest, baseline, pricing, scoring, sinks, usage
 from spendwatch.params import Params
-from spendwatch.session import pin_utc
+from spendwatch.session import pin_utc, scratch_path
 from spendwatch.sources import fixtures as fx
 
 
@@ -75,8 +75,25 @@ class Inputs:
     def rates(self, p: Params = fx.SCORING_PARAMS) -> DataFrame:
         return pricing.pricing_rates(self.card, self.customer_rates(p), self.aliases, p)
 
+    # tables written by the daily refresh and read by the monitor -----------------
+    def _table(self, key: str, build) -> DataFrame:
+        cache = self.__dict__.setdefault("_tables", {})
+        if key not in cache:
+            path = scratch_path(self.spark, key)
+            sinks.overwrite(build(), path)
+            cache[key] = self.spark.read.parquet(path)
+        return cache[key]
+
+    def rates_table(self, p: Params = fx.SCORING_PARAMS) -> DataFrame:
+        return self._table(f"pricing-rates-{hash(p)}", lambda: self.rates(p))
+
+    def baseline_table(self, p: Params = fx.SCORING_PARAMS) -> DataFrame:
+        return self._table(f"workspace-baseline-{hash(p)}", lambda: self.baseline(p))
+
     def scores(self, p: Params = fx.SCORING_PARAMS) -> DataFrame:
-        return scoring.score_inventory(self.inventory, self.rates(p), self.baseline(p), self.rules, p)
+        """The monitor reads the refreshed ``pricing_rates`` and
+        ``workspace_baseline`` tables, as the scheduled jobs do."""
+        return scoring.score_inventory(self.inventory, self.rates_table(p), self.baseline_table(p), self.rules, p)
 
     def alerts(self, p: Params = fx.ALERT_PARAMS) -> DataFrame:
         return alerts.alerts_latest(self.scores(), p)

@@ -16,9 +16,11 @@ from spendwatch.streaming.common import run_available_now, stream_dirs
 
 def stream_scores(spark: SparkSession, src: str, rates: DataFrame, baseline: DataFrame,
                   rules: ExclusionRules, p: Params, out: str, checkpoint: str,
-                  available_now: bool = True, max_files_per_trigger: int = 1) -> StreamingQuery:
-    snapshots = (spark.readStream.schema(S.INVENTORY)
-                 .option("maxFilesPerTrigger", max_files_per_trigger).parquet(src))
+                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    reader = spark.readStream.schema(S.INVENTORY)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    snapshots = reader.parquet(src)
     scored = score_inventory(snapshots, rates, baseline, rules, p)
     writer = (scored.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint).partitionBy("snapshot_date"))
@@ -32,7 +34,7 @@ def run_from_inventory(inputs, p: Params) -> DataFrame:
     spark = inputs.spark
     src, out, ckpt = stream_dirs(spark, "stream-scores")
     inv = inputs.inventory
-    rates, base = inputs.rates(p), inputs.baseline(p)
+    rates, base = inputs.rates_table(p), inputs.baseline_table(p)
     for k in range(2):
         inv.where((F.col("num_workers") % 2) == k).write.mode("append").parquet(src)
         run_available_now(stream_scores(spark, src, rates, base, inputs.rules, p, out, ckpt))
