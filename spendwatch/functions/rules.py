@@ -10,6 +10,29 @@ from pyspark.sql import functions as F
 from spendwatch import schemas as S
 
 _REGEX_META = set(".^$*+?{}[]\\|()")
+_CLASS_META = set("\\[]^-&")
+
+
+def _class_char(c: str) -> str:
+    return "\\" + c if c in _CLASS_META else c
+
+
+def _bracket(body: str, negate: bool) -> str:
+    """Translate the inside of ``[...]``: single characters and ``a-z``
+    ranges; a reversed range matches nothing (as in fnmatch)."""
+    items, k = [], 0
+    while k < len(body):
+        if k + 2 < len(body) and body[k + 1] == "-":
+            lo, hi = body[k], body[k + 2]
+            if lo <= hi:
+                items.append(_class_char(lo) + "-" + _class_char(hi))
+            k += 3
+        else:
+            items.append(_class_char(body[k]))
+            k += 1
+    if not items:
+        return "." if negate else "(?!)"
+    return "[" + ("^" if negate else "") + "".join(items) + "]"
 
 
 def glob_to_regex(pattern: str) -> str:
@@ -41,12 +64,7 @@ def glob_to_regex(pattern: str) -> str:
             body = pattern[i:j]
             i = j + 1
             negate = body.startswith("!")
-            if negate:
-                body = body[1:]
-            body = body.replace("\\", "\\\\")
-            if body.startswith("^"):
-                body = "\\" + body
-            out.append("[" + ("^" if negate else "") + body + "]")
+            out.append(_bracket(body[1:] if negate else body, negate))
         elif c in _REGEX_META:
             out.append("\\" + c)
         else:

@@ -29,14 +29,15 @@ def cumulative(hourly: DataFrame) -> DataFrame:
         F.sum("dollars").over(running).cast("double").alias("cumulative_dollars"),
         F.sum("dbus").over(running).cast("double").alias("cumulative_dbus"),
         F.row_number().over(ordered).alias("hours_observed"),
-        F.sum("dollars").over(_day()).cast("double").alias("day_dollars"),
-    )
+        F.sum("dollars").over(_day()).alias("day_exact"),
+    ).withColumn("day_dollars", F.col("day_exact").cast("double"))
 
 
 def cluster_day_totals(cum: DataFrame) -> DataFrame:
     """Daily totals read off the cumulative frame; same partitioning, so no
     extra shuffle."""
-    return cum.groupBy(*CLUSTER_DAY_KEYS).agg(F.max("day_dollars").alias("daily_dollars"))
+    return cum.groupBy(*CLUSTER_DAY_KEYS).agg(
+        F.max("day_dollars").alias("daily_dollars"), F.max("day_exact").alias("daily_exact"))
 
 
 def project_running(cum: DataFrame) -> DataFrame:
@@ -142,8 +143,9 @@ def enrich(results: DataFrame, meta: DataFrame) -> DataFrame:
 def backtest_summary(results: DataFrame) -> DataFrame:
     """AG18: per workspace and outcome -- days, share of the workspace's bad
     days, lead-time median / p90 (exact) and dollars."""
+    exact = F.col("actual_daily_dollars").cast("decimal(38,4)")
     grouped = results.groupBy("workspace_id", "outcome").agg(
-        F.count(F.lit(1)).alias("n_days"), F.sum("actual_daily_dollars").alias("dollars"))
+        F.count(F.lit(1)).alias("n_days"), F.sum(exact).cast("double").alias("dollars"))
     share = F.col("n_days") / F.sum("n_days").over(Window.partitionBy("workspace_id"))
     leads = exact_percentiles(results, ["workspace_id", "outcome"], "lead_hours",
                               {"lead_p50": 0.5, "lead_p90": 0.9})

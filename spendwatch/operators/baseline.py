@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spendwatch.operators.joins import bounded_broadcast
@@ -19,21 +19,30 @@ def weekdays_only(df: DataFrame, col: str = "usage_date") -> DataFrame:
     return df.where(F.weekday(F.col(col)) < 5)
 
 
-def cluster_day(priced: DataFrame) -> DataFrame:
+def cluster_day(priced: DataFrame, keep_exact: bool = False) -> DataFrame:
     """AG3: daily dollars per (workspace, day, cluster), summed exactly as
-    DECIMAL and handed on as DOUBLE."""
-    return priced.groupBy(*CLUSTER_DAY_KEYS).agg(
-        F.sum("dollars").cast("double").alias("daily_dollars"))
+    DECIMAL and handed on as DOUBLE (``keep_exact`` also keeps the DECIMAL
+    total as ``daily_exact`` for exact means downstream)."""
+    out = priced.groupBy(*CLUSTER_DAY_KEYS).agg(F.sum("dollars").alias("daily_exact"))
+    out = out.withColumn("daily_dollars", F.col("daily_exact").cast("double"))
+    return out if keep_exact else out.drop("daily_exact")
+
+
+def exact_mean(exact: str) -> Column:
+    """Mean of a DECIMAL column as the DOUBLE nearest the exact sum, divided
+    once by the count: independent of summation order, so every engine and
+    every partitioning yields the same bits."""
+    return F.sum(exact).cast("double") / F.count(F.col(exact))
 
 
 def workspace_baseline(priced: DataFrame, p: Params) -> DataFrame:
     """AG4-AG6 + FL7: per workspace, population statistics of positive
     weekday cluster-day spend, raw and in log space."""
-    days = cluster_day(weekdays_only(priced)).where(F.col("daily_dollars") > 0)
+    days = cluster_day(weekdays_only(priced), keep_exact=True).where(F.col("daily_dollars") > 0)
     days = days.withColumn("log_dollars", F.ln("daily_dollars"))
     moments = days.groupBy("workspace_id").agg(
         F.count(F.lit(1)).alias("n_cluster_days"),
-        F.avg("daily_dollars").alias("mean_daily_dollars"),
+        exact_mean("daily_exact").alias("mean_daily_dollars"),
         F.stddev_pop("daily_dollars").alias("stddev_daily_dollars"),
         F.max("daily_dollars").alias("max_daily_dollars"),
         F.avg("log_dollars").alias("mean_log_daily_dollars"),
@@ -78,8 +87,11 @@ def rolling_baseline(day_totals: DataFrame, p: Params, weekdays: bool | None = N
     totals = weekdays_only(day_totals) if weekdays else day_totals
     as_of_days = totals.select("workspace_id", F.col("usage_date").alias("as_of_date")).distinct()
     pos = totals.where(F.col("daily_dollars") > 0).withColumn("log_dollars", F.ln("daily_dollars"))
+    if "daily_exact" not in pos.columns:
+        pos = pos.withColumn("daily_exact", F.col("daily_dollars").cast("decimal(38,6)"))
     moments = pos.groupBy("workspace_id", "usage_date").agg(
         F.count(F.lit(1)).alias("n"),
+        F.sum("daily_exact").alias("raw_sum"),
         *_day_moments(pos, "daily_dollars", "raw_"),
         *_day_moments(pos, "log_dollars", "log_"),
     )
@@ -92,7 +104,7 @@ def rolling_baseline(day_totals: DataFrame, p: Params, weekdays: bool | None = N
     total_n = F.sum("n").over(w)
     pairs = (pairs
              .withColumn("_n", total_n)
-             .withColumn("_raw_mu", F.sum(F.col("n") * F.col("raw_mean")).over(w) / F.col("_n"))
+             .withColumn("_raw_mu", F.sum("raw_sum").over(w).cast("double") / F.col("_n"))
              .withColumn("_log_mu", F.sum(F.col("n") * F.col("log_mean")).over(w) / F.col("_n")))
     merged = pairs.groupBy("workspace_id", "as_of_date").agg(
         F.first("_n").alias("baseline_n"),

@@ -81,7 +81,7 @@ def q_cluster_day_weekday(i: Inputs) -> DataFrame:
     return baseline.weekdays_only(baseline.cluster_day(i.priced(U)))
 
 
-BASELINE_STATS = ["mean_daily_dollars", "stddev_daily_dollars", "p50_daily_dollars", "p90_daily_dollars",
+BASELINE_STATS = ["stddev_daily_dollars", "p50_daily_dollars", "p90_daily_dollars",
                   "p95_daily_dollars", "p99_daily_dollars", "max_daily_dollars", "mean_log_daily_dollars",
                   "stddev_log_daily_dollars"]
 
@@ -92,7 +92,7 @@ def q_workspace_baseline(i: Inputs) -> DataFrame:
 
 def q_baseline_latest(i: Inputs) -> DataFrame:
     both = i.baseline(older(U, 7)).unionByName(i.baseline(U))
-    return r6(baseline.baseline_latest(both).select("workspace_id", "mean_daily_dollars"), "mean_daily_dollars")
+    return baseline.baseline_latest(both).select("workspace_id", "mean_daily_dollars")
 
 
 # --- pricing ---------------------------------------------------------------------------
@@ -174,8 +174,7 @@ def q_score_reasons(i: Inputs) -> DataFrame:
     return count_by(_scored(i), "signal", "reason")
 
 
-SCORE_DOUBLES = ["dbu_per_hour", "dollars_per_hour", "projected_daily_dollars", "baseline_mean",
-                 "baseline_stddev", "z_score"]
+SCORE_DOUBLES = ["dbu_per_hour", "dollars_per_hour", "projected_daily_dollars", "baseline_stddev", "z_score"]
 
 
 def q_cluster_scores(i: Inputs) -> DataFrame:
@@ -251,8 +250,7 @@ def q_hourly_projection(i: Inputs) -> DataFrame:
 
 def q_rolling_baseline(i: Inputs) -> DataFrame:
     totals = backtest.cluster_day_totals(backtest.cumulative(i.hourly(B)))
-    return r6(baseline.rolling_baseline(totals, B), "baseline_mean", "baseline_stddev", "baseline_mean_log",
-              "baseline_stddev_log")
+    return r6(baseline.rolling_baseline(totals, B), "baseline_stddev", "baseline_mean_log", "baseline_stddev_log")
 
 
 def q_bad_cluster_days(i: Inputs) -> DataFrame:
@@ -289,7 +287,7 @@ def q_backtest_enriched(i: Inputs) -> DataFrame:
 
 
 def q_backtest_summary(i: Inputs) -> DataFrame:
-    return r6(backtest.backtest_summary(i.backtest(B)), "share", "lead_p50", "lead_p90", "dollars")
+    return r6(backtest.backtest_summary(i.backtest(B)), "lead_p50", "lead_p90")
 
 
 # --- sinks -------------------------------------------------------------------------------------
