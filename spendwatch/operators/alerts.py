@@ -82,7 +82,8 @@ def alerts_to_send(alerts: DataFrame, log: DataFrame, p: Params) -> DataFrame:
     cluster, signal) happened within its tier's window.  ``max(sent) < T or
     none`` equals ``no send >= T``, so this is one anti join against the log
     rows of the window (only recent log rows take part)."""
-    return alerts.join(_suppressing_sends(log, p), ["workspace_id", "cluster_id", "signal"], "left_anti")
+    kept = alerts.join(_suppressing_sends(log, p), ["workspace_id", "cluster_id", "signal"], "left_anti")
+    return kept.select(*alerts.columns)
 
 
 def directory_lookup(directory: DataFrame, p: Params) -> DataFrame:
