@@ -19,14 +19,14 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_scores(scores: DataFrame, path: str, mode: str = "append", files_per_date: int = 4) -> None:
+def write_scores(scores: DataFrame, path: str, mode: str = "append", files_per_date: int = 1) -> None:
     """SK3: ``cluster_scores`` partitioned by the derived ``snapshot_date`` so
     date predicates prune whole directories.
 
-    Rows are clustered by (date, cluster hash bucket) first: every date gets
-    at most ``files_per_date`` files instead of one per task, and a write that
-    holds a single date (the usual 15-minute poll) still spreads over
-    ``files_per_date`` tasks.
+    Rows are clustered by (date, cluster hash bucket) first, so every date
+    gets at most ``files_per_date`` files instead of one per task.  A poll
+    holds one date; raise ``files_per_date`` when a poll is large enough to
+    want several writer tasks.
     """
     if "snapshot_date" not in scores.columns:
         scores = scores.withColumn("snapshot_date", F.to_date("snapshot_ts"))
