@@ -13,6 +13,10 @@ from spendwatch.operators.joins import bounded_broadcast, broadcast_if_fits, bro
 from spendwatch.operators.pricing import rates_with_fallback, sku_by_photon
 from spendwatch.params import Params
 
+# Rule lists up to this length are matched inline (IN set); longer ones by a
+# broadcast join.
+INLINE_LIST_MAX = 10_000
+
 # What counts as a live all-purpose cluster.
 LIVE_STATES = ("RUNNING", "RESIZING")
 LIVE_SOURCES = ("UI", "API")
@@ -33,20 +37,27 @@ def exclusion_reason(inv: DataFrame, rules: ExclusionRules, p: Params) -> DataFr
     """
     spark = inv.sparkSession
     out = inv
+
+    def member(values: tuple[str, ...], col: str, tag: str):
+        nonlocal out
+        if len(values) <= INLINE_LIST_MAX:  # a hash-set lookup inside the generated code
+            return F.col(col).isin(*values)
+        frame = (rules.ids_frame(spark) if tag == "rule_id" else rules.creators_frame(spark))
+        out = out.join(broadcast_if_known_small(frame, len(values), p.broadcast_max_rows),
+                       F.col(col) == F.col(tag), "left")
+        return F.col(tag).isNotNull()
+
     id_reason = F.lit(None).cast("string")
     creator_reason = F.lit(None).cast("string")
     if rules.ids:
-        ids = broadcast_if_known_small(rules.ids_frame(spark), len(rules.ids), p.broadcast_max_rows)
-        out = out.join(ids, F.col("cluster_id") == F.col("rule_id"), "left")
-        id_reason = F.when(F.col("rule_id").isNotNull(),
+        id_reason = F.when(member(rules.ids, "cluster_id", "rule_id"),
                            F.concat(F.lit("cluster_id "), F.col("cluster_id"), F.lit(" in exclusion rules")))
     if rules.creators:
-        creators = broadcast_if_known_small(rules.creators_frame(spark), len(rules.creators), p.broadcast_max_rows)
-        out = out.join(creators, F.col("creator_user_name") == F.col("rule_creator"), "left")
-        creator_reason = F.when(F.col("rule_creator").isNotNull(),
+        creator_reason = F.when(member(rules.creators, "creator_user_name", "rule_creator"),
                                 F.concat(F.lit("creator "), F.col("creator_user_name"), F.lit(" in exclusion rules")))
     reason = F.coalesce(id_reason, rules.name_reason(F.col("cluster_name")), creator_reason)
-    return out.withColumn("excluded_reason", reason).drop("rule_id", "rule_creator")
+    out = out.withColumn("excluded_reason", reason)
+    return out.drop(*[c for c in ("rule_id", "rule_creator") if c in out.columns])
 
 
 def _rate_lookup(df: DataFrame, rates: DataFrame, node_col: str, prefix: str) -> DataFrame:
@@ -94,7 +105,8 @@ def score_reason(projected: Column, z: Column, p: Params) -> Column:
         F.lit("projected_daily $"), fmt_grouped(projected, 0), F.lit(f" > budget ${budget_txt}")))
     z_txt = F.when(z > p.z_critical, F.concat(F.lit("log-z="), fmt_plain(z, 1), F.lit(f" > critical {p.z_critical}"))) \
         .when(z > p.z_warning, F.concat(F.lit("log-z="), fmt_plain(z, 1), F.lit(f" > warning {p.z_warning}")))
-    return F.coalesce(F.nullif(F.concat_ws("; ", over_budget, z_txt), F.lit("")), F.lit("within thresholds"))
+    return F.when(over_budget.isNull() & z_txt.isNull(), F.lit("within thresholds")) \
+        .otherwise(F.concat_ws("; ", over_budget, z_txt))
 
 
 def live_tier(projected: Column, z: Column, p: Params) -> Column:
@@ -114,13 +126,13 @@ def score_inventory(inv: DataFrame, rates: DataFrame, baseline: DataFrame, rules
     if "cloud" in rates.columns:
         rates = rates.where(F.col("cloud") == p.cloud)  # FL9
     table = broadcast_if_fits(rates_with_fallback(rates), p.broadcast_max_rows)
-    skus = bounded_broadcast(sku_by_photon(rates))
     base = baseline_latest(baseline).select(
         "workspace_id",
         F.coalesce("mean_daily_dollars", F.lit(0.0)).alias("baseline_mean"),
         F.coalesce("stddev_daily_dollars", F.lit(0.0)).alias("baseline_stddev"),
         F.coalesce("mean_log_daily_dollars", F.lit(0.0)).alias("_mu_log"),
         F.coalesce("stddev_log_daily_dollars", F.lit(0.0)).alias("_sd_log"))
+    skus = bounded_broadcast(sku_by_photon(rates))
 
     df = inventory_columns(live_inventory(inv))
     df = df.join(skus, "photon", "left")

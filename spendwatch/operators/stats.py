@@ -28,45 +28,60 @@ BUCKETS_PER_UNIT = 10_000
 
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """One row per group of ``keys`` with a column per entry of ``probs``."""
+    """One row per group of ``keys`` with a column per entry of ``probs``.
+
+    Shuffles: the histogram and the distinct values of the target buckets
+    (both pre-aggregated map-side), two windows over those small results (a
+    group has at most a few hundred thousand non-empty buckets; a bucket a
+    bounded number of distinct values), and the final small grouping.
+    """
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     v = v.withColumn("_b", F.floor(F.asinh("_v") * BUCKETS_PER_UNIT))
 
+    # 1-2. histogram and cumulative counts per group.
     hist = v.groupBy(*keys, "_b").agg(F.count(F.lit(1)).alias("_c"))
     by_bucket = Window.partitionBy(*keys).orderBy("_b")
-    hist = (hist
-            .withColumn("_before", F.coalesce(
-                F.sum("_c").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys))))
+    hist = hist.select(
+        *keys, "_b", "_c",
+        F.coalesce(F.sum("_c").over(by_bucket.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
 
-    # Wanted ranks: floor and ceil of p * (n - 1) for every percentile.
-    wanted = F.array(*[F.struct(F.lit(name).alias("_name"), F.lit(float(p)).alias("_p"))
-                       for name, p in probs.items()])
-    ranks = (hist.select(*keys, "_n").distinct()
-             .select(*keys, "_n", F.explode(wanted).alias("_w"))
-             .select(*keys, "_n", "_w._name", "_w._p")
-             .withColumn("_pos", F.col("_p") * (F.col("_n") - 1))
-             .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_pos"), F.ceil("_pos"))))))
-    located = ranks.join(hist.select(*keys, "_b", "_c", "_before"), keys).where(
-        (F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_c")))
+    # 3. the wanted ranks (floor and ceil of p * (n - 1)) that fall in each bucket.
+    wanted = []
+    for name, p in probs.items():
+        pos = F.lit(float(p)) * (F.col("_n") - 1)
+        for rank in (F.floor(pos), F.ceil(pos)):
+            inside = (rank >= F.col("_before")) & (rank < F.col("_before") + F.col("_c"))
+            wanted.append(F.when(inside, F.struct(F.lit(name).alias("_name"), pos.alias("_pos"),
+                                                  rank.alias("_rank"))))
+    located = (hist.select(*keys, "_b", "_before", F.filter(F.array(*wanted), lambda x: x.isNotNull()).alias("_w"))
+               .where(F.size("_w") > 0))
 
-    # Distinct values of the target buckets only, ranked inside their bucket.
-    targets = located.select(*keys, "_b", "_before").distinct()
-    inside = v.join(bounded_broadcast(targets), [*keys, "_b"]).groupBy(*keys, "_b", "_before", "_v").agg(
-        F.count(F.lit(1)).alias("_m"))
+    # 4. distinct values of the target buckets only, ranked inside their bucket.
+    targets = bounded_broadcast(located.select(*keys, "_b", "_before"))
+    # Aggregate before shuffling: duplicates of a hot value collapse map-side.
+    values = (v.join(targets, [*keys, "_b"])
+              .groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_m"), F.first("_before").alias("_before")))
     by_value = Window.partitionBy(*keys, "_b").orderBy("_v")
-    inside = inside.withColumn(
-        "_start", F.col("_before") + F.coalesce(
-            F.sum("_m").over(by_value.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    picked = located.join(inside.select(*keys, "_b", "_v", "_start", "_m"), [*keys, "_b"]).where(
+    values = values.select(
+        *keys, "_b", "_v", "_m",
+        (F.col("_before") + F.coalesce(F.sum("_m").over(by_value.rowsBetween(Window.unboundedPreceding, -1)),
+                                       F.lit(0))).alias("_start"))
+
+    # 5. the value holding each wanted rank.
+    ranks = located.select(*keys, "_b", F.explode("_w").alias("_w")).select(*keys, "_b", "_w.*")
+    picked = values.join(bounded_broadcast(ranks), [*keys, "_b"]).where(
         (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_m")))
 
-    lo = F.floor("_pos")
-    hi = F.ceil("_pos")
-    per_p = picked.groupBy(*keys, "_name", "_pos").agg(
-        F.min(F.when(F.col("_rank") == lo, F.col("_v"))).alias("_lo_v"),
-        F.min(F.when(F.col("_rank") == hi, F.col("_v"))).alias("_hi_v"))
-    interp = F.when(lo == hi, F.col("_lo_v")).otherwise(
-        (hi - F.col("_pos")) * F.col("_lo_v") + (F.col("_pos") - lo) * F.col("_hi_v"))
-    result = per_p.select(*keys, "_name", interp.alias("_q"))
-    return result.groupBy(*keys).pivot("_name", list(probs.keys())).agg(F.first("_q"))
+    # 6. interpolate: (ceil - pos) * v[floor] + (pos - floor) * v[ceil].
+    aggs, outs = [], []
+    for i, name in enumerate(probs):
+        mine = F.col("_name") == name
+        lo, hi = F.floor("_pos"), F.ceil("_pos")
+        aggs += [F.max(F.when(mine, F.col("_pos"))).alias(f"_p{i}"),
+                 F.min(F.when(mine & (F.col("_rank") == lo), F.col("_v"))).alias(f"_lo{i}"),
+                 F.min(F.when(mine & (F.col("_rank") == hi), F.col("_v"))).alias(f"_hi{i}")]
+        pos, lo_v, hi_v = F.col(f"_p{i}"), F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        outs.append(F.when(F.floor(pos) == F.ceil(pos), lo_v)
+                    .otherwise((F.ceil(pos) - pos) * lo_v + (pos - F.floor(pos)) * hi_v).alias(name))
+    return picked.groupBy(*keys).agg(*aggs).select(*keys, *outs)

@@ -76,19 +76,27 @@ class Inputs:
         return pricing.pricing_rates(self.card, self.customer_rates(p), self.aliases, p)
 
     # tables written by the daily refresh and read by the monitor -----------------
-    def _table(self, key: str, build) -> DataFrame:
+    def _refresh(self, p: Params) -> None:
+        """The daily refresh: one persisted pass of priced usage feeds both
+        ``pricing_rates`` and ``workspace_baseline``."""
         cache = self.__dict__.setdefault("_tables", {})
-        if key not in cache:
-            path = scratch_path(self.spark, key)
-            sinks.overwrite(build(), path)
-            cache[key] = self.spark.read.parquet(path)
-        return cache[key]
+        if ("rates", p) in cache:
+            return
+        from spendwatch.plans.jobs import persisted
+        with persisted(self.priced(p)) as priced:
+            rates = pricing.pricing_rates(self.card, pricing.customer_rates(priced), self.aliases, p)
+            for key, frame in (("rates", rates), ("baseline", baseline.workspace_baseline(priced, p))):
+                path = scratch_path(self.spark, f"refresh-{key}")
+                sinks.overwrite(frame, path)
+                cache[(key, p)] = self.spark.read.parquet(path)
 
     def rates_table(self, p: Params = fx.SCORING_PARAMS) -> DataFrame:
-        return self._table(f"pricing-rates-{hash(p)}", lambda: self.rates(p))
+        self._refresh(p)
+        return self._tables[("rates", p)]
 
     def baseline_table(self, p: Params = fx.SCORING_PARAMS) -> DataFrame:
-        return self._table(f"workspace-baseline-{hash(p)}", lambda: self.baseline(p))
+        self._refresh(p)
+        return self._tables[("baseline", p)]
 
     def scores(self, p: Params = fx.SCORING_PARAMS) -> DataFrame:
         """The monitor reads the refreshed ``pricing_rates`` and

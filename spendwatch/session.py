@@ -26,6 +26,10 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "spe
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
+        # Whole-stage generated methods above 8000 bytecodes are otherwise
+        # never JIT-compiled; on a cluster set the same in
+        # spark.executor.extraJavaOptions.
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
     )
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
