@@ -140,9 +140,12 @@ def enrich(results: DataFrame, meta: DataFrame) -> DataFrame:
         "outcome", "lead_hours")
 
 
-def backtest_summary(results: DataFrame) -> DataFrame:
+def backtest_summary(results: DataFrame, checkpoint: bool = True) -> DataFrame:
     """AG18: per workspace and outcome -- days, share of the workspace's bad
-    days, lead-time median / p90 (exact) and dollars."""
+    days, lead-time median / p90 (exact) and dollars.  ``results`` feeds three
+    consumers, so it is checkpointed once unless it is already a table."""
+    if checkpoint:
+        results = results.checkpoint(eager=True)
     exact = F.col("actual_daily_dollars").cast("decimal(38,4)")
     grouped = results.groupBy("workspace_id", "outcome").agg(
         F.count(F.lit(1)).alias("n_days"), F.sum(exact).cast("double").alias("dollars"))

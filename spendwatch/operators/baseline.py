@@ -35,11 +35,16 @@ def exact_mean(exact: str) -> Column:
     return F.sum(exact).cast("double") / F.count(F.col(exact))
 
 
-def workspace_baseline(priced: DataFrame, p: Params) -> DataFrame:
+def workspace_baseline(priced: DataFrame, p: Params, checkpoint: bool = True) -> DataFrame:
     """AG4-AG6 + FL7: per workspace, population statistics of positive
     weekday cluster-day spend, raw and in log space."""
     days = cluster_day(weekdays_only(priced), keep_exact=True).where(F.col("daily_dollars") > 0)
     days = days.withColumn("log_dollars", F.ln("daily_dollars"))
+    if checkpoint:
+        # Cluster-days are orders of magnitude smaller than usage and feed three
+        # consumers (moments, histogram, ranked values): write them once to the
+        # shared checkpoint directory and cut the lineage there.
+        days = days.checkpoint(eager=True)
     moments = days.groupBy("workspace_id").agg(
         F.count(F.lit(1)).alias("n_cluster_days"),
         exact_mean("daily_exact").alias("mean_daily_dollars"),

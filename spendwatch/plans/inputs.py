@@ -85,7 +85,8 @@ class Inputs:
         from spendwatch.plans.jobs import persisted
         with persisted(self.priced(p)) as priced:
             rates = pricing.pricing_rates(self.card, pricing.customer_rates(priced), self.aliases, p)
-            for key, frame in (("rates", rates), ("baseline", baseline.workspace_baseline(priced, p))):
+            base = baseline.workspace_baseline(priced, p, checkpoint=False)  # priced is persisted
+            for key, frame in (("rates", rates), ("baseline", base)):
                 path = scratch_path(self.spark, f"refresh-{key}")
                 sinks.overwrite(frame, path)
                 cache[(key, p)] = self.spark.read.parquet(path)

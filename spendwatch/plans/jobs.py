@@ -54,7 +54,7 @@ def baseline_refresh(spark: SparkSession, t: Tables, usage_df: DataFrame, prices
     priced = usage.priced_usage(usage_df, prices, excluded, p).observe(counts, F.count(F.lit(1)).alias("rows"))
     with persisted(priced) as cached:
         rates = pricing.pricing_rates(card, pricing.customer_rates(cached), aliases, p)
-        sinks.overwrite(baseline.workspace_baseline(cached, p), t.path("workspace_baseline"))
+        sinks.overwrite(baseline.workspace_baseline(cached, p, checkpoint=False), t.path("workspace_baseline"))
         sinks.overwrite(rates, t.path("pricing_rates"))
     return {"priced_rows": counts.get["rows"]}
 
