@@ -34,7 +34,7 @@ class Params:
     critical_suppression_hours: int = 4
     routing_mode: str = "channel_only"  # or "dm_with_fallback"
     alert_channel: str = "#cost-alerts"
-    workspace_host: str = "example.cloud.databricks.com"
+    workspace_host: str = "workspace.example.com"
 
     # Pricing.
     cloud: str = "AWS"
