@@ -13,6 +13,7 @@ from spendwatch.operators.baseline import CLUSTER_DAY_KEYS, attach_baseline, rol
 from spendwatch.operators.stats import exact_percentiles
 from spendwatch.operators.usage import hourly_spend
 from spendwatch.params import Params
+from spendwatch.session import checkpoint as checkpoint_df
 
 def _day() -> Window:
     return Window.partitionBy(*CLUSTER_DAY_KEYS)
@@ -145,7 +146,7 @@ def backtest_summary(results: DataFrame, checkpoint: bool = True) -> DataFrame:
     days, lead-time median / p90 (exact) and dollars.  ``results`` feeds three
     consumers, so it is checkpointed once unless it is already a table."""
     if checkpoint:
-        results = results.checkpoint(eager=True)
+        results = checkpoint_df(results)
     exact = F.col("actual_daily_dollars").cast("decimal(38,4)")
     grouped = results.groupBy("workspace_id", "outcome").agg(
         F.count(F.lit(1)).alias("n_days"), F.sum(exact).cast("double").alias("dollars"))

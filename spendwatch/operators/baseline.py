@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spendwatch.operators.joins import bounded_broadcast
 from spendwatch.operators.stats import exact_percentiles
 from spendwatch.params import Params
+from spendwatch.session import checkpoint as checkpoint_df
 
 CLUSTER_DAY_KEYS = ["workspace_id", "usage_date", "cluster_id"]
 PERCENTILES = {"p50_daily_dollars": 0.5, "p90_daily_dollars": 0.9,
@@ -44,7 +45,7 @@ def workspace_baseline(priced: DataFrame, p: Params, checkpoint: bool = True) ->
         # Cluster-days are orders of magnitude smaller than usage and feed three
         # consumers (moments, histogram, ranked values): write them once to the
         # shared checkpoint directory and cut the lineage there.
-        days = days.checkpoint(eager=True)
+        days = checkpoint_df(days)
     moments = days.groupBy("workspace_id").agg(
         F.count(F.lit(1)).alias("n_cluster_days"),
         exact_mean("daily_exact").alias("mean_daily_dollars"),

@@ -80,3 +80,11 @@ def local_dir(path: str) -> str:
 def makedirs_if_local(path: str) -> None:
     if is_local_path(path):
         os.makedirs(local_dir(path), exist_ok=True)
+
+
+def checkpoint(df):
+    """Reliable checkpoint into the shared checkpoint directory (never
+    ``localCheckpoint``): the frame is written once and its lineage cut, so a
+    lost executor re-reads it instead of recomputing the whole plan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
