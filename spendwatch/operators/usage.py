@@ -68,7 +68,9 @@ def resolve_exclusions(rules: ExclusionRules, history: DataFrame, active: DataFr
             creators = broadcast_if_known_small(rules.creators_frame(spark), len(rules.creators), max_rows)
             hist = hist.join(creators, F.col("owned_by") == F.col("rule_creator"), "left")
             hit = hit | F.col("rule_creator").isNotNull()
-        matched = hist.where(hit).select(*KEYS)
+        # One row per matching cluster, de-duplicated map-side before the
+        # shuffle: a cluster with very many recorded versions is not a hot key.
+        matched = hist.where(hit).select(*KEYS).distinct()
         parts.append(active.join(matched, KEYS, "left_semi"))
     if not parts:
         return active.limit(0)

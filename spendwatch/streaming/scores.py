@@ -16,26 +16,38 @@ from spendwatch.streaming.common import run_available_now, stream_dirs
 
 def stream_scores(spark: SparkSession, src: str, rates: DataFrame, baseline: DataFrame,
                   rules: ExclusionRules, p: Params, out: str, checkpoint: str,
-                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  available_now: bool = True, max_files_per_trigger: int | None = None,
+                  files_per_date: int = 1, partition_by_date: bool = True) -> StreamingQuery:
     reader = spark.readStream.schema(S.INVENTORY)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     snapshots = reader.parquet(src)
     scored = score_inventory(snapshots, rates, baseline, rules, p)
+    # Same layout as the batch writer: rows of a date clustered into
+    # ``files_per_date`` writer tasks instead of one file per task and date.
     writer = (scored.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint).partitionBy("snapshot_date"))
+              .option("checkpointLocation", checkpoint))
+    if partition_by_date:
+        bucket = F.pmod(F.hash("cluster_id"), F.lit(files_per_date))
+        writer = (scored.repartition("snapshot_date", bucket).writeStream.format("parquet").outputMode("append")
+                  .option("checkpointLocation", checkpoint).partitionBy("snapshot_date"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="15 minutes")
     return writer.start(out)
 
 
 def run_from_inventory(inputs, p: Params) -> DataFrame:
     """Feed the fixture inventory in two arrivals with a restart in between
-    and return everything the stream wrote (equals the batch scores)."""
+    and return everything the stream wrote (equals the batch scores).
+
+    The fixture spreads snapshots over ~2,500 dates (a real poll holds one),
+    so this check writes unpartitioned; the date-partitioned layout and its
+    pruning are covered by ``sink_partitioned_scores`` and the plan tests."""
     spark = inputs.spark
     src, out, ckpt = stream_dirs(spark, "stream-scores")
     inv = inputs.inventory
     rates, base = inputs.rates_table(p), inputs.baseline_table(p)
     for k in range(2):
         inv.where((F.col("num_workers") % 2) == k).write.mode("append").parquet(src)
-        run_available_now(stream_scores(spark, src, rates, base, inputs.rules, p, out, ckpt))
+        run_available_now(stream_scores(spark, src, rates, base, inputs.rules, p, out, ckpt,
+                                        partition_by_date=False))
     return spark.read.parquet(out)
