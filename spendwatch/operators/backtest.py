@@ -132,6 +132,14 @@ def latest_meta(history: DataFrame) -> DataFrame:
         "workspace_id", "cluster_id", "cluster_name", F.col("owned_by").alias("creator"))
 
 
+def meta_for(results: DataFrame, history: DataFrame) -> DataFrame:
+    """Latest metadata of the clusters that occur in ``results`` only: the
+    (large) version history is semi-joined with the result keys before the
+    versions are ranked."""
+    keys = results.select("workspace_id", "cluster_id").distinct()
+    return latest_meta(history.join(keys, ["workspace_id", "cluster_id"], "left_semi"))
+
+
 def enrich(results: DataFrame, meta: DataFrame) -> DataFrame:
     """JN8: metadata joined last, after the heavy aggregation."""
     out = results.join(meta, ["workspace_id", "cluster_id"], "left")

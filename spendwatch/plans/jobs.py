@@ -84,6 +84,7 @@ def run_backtest(spark: SparkSession, t: Tables, usage_df: DataFrame, prices: Da
     days = p.backtest_lookback_days + p.warmup_days
     excluded = usage.resolve_exclusions(rules, history, usage.active_clusters(usage_df, p, days),
                                         p.broadcast_max_rows)
-    results = backtest.enrich(backtest.backtest(usage_df, prices, excluded, p), backtest.latest_meta(history))
+    raw = backtest.backtest(usage_df, prices, excluded, p)
+    results = backtest.enrich(raw, backtest.meta_for(raw, history))
     sinks.overwrite(results, t.path("backtest_results"))
     return spark.read.parquet(t.path("backtest_results"))

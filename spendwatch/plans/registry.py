@@ -283,7 +283,8 @@ def q_cluster_meta_latest(i: Inputs) -> DataFrame:
 
 
 def q_backtest_enriched(i: Inputs) -> DataFrame:
-    return r6(backtest.enrich(i.backtest(B), backtest.latest_meta(i.history)), "z_score")
+    raw = i.backtest(B)
+    return r6(backtest.enrich(raw, backtest.meta_for(raw, i.history)), "z_score")
 
 
 def q_backtest_summary(i: Inputs) -> DataFrame:
