@@ -132,3 +132,11 @@ def test_stream_restart_without_new_files_adds_nothing(spark):
     n1 = spark.read.parquet(out).count()
     run_available_now(sm.stream_scores(*args))
     assert spark.read.parquet(out).count() == n1 == i.scores().count()
+
+
+def test_price_join_fallback_equals_broadcast_on_fixture(spark):
+    i = Inputs(spark, SF_SMALL)
+    small = fx.USAGE_PARAMS.replace(broadcast_max_rows=0)  # forces the day-bucket shuffle join
+    assert rows(i.priced(fx.USAGE_PARAMS)) == rows(i.priced(small))
+    b_small = fx.BACKTEST_PARAMS.replace(broadcast_max_rows=0)
+    assert rows(i.hourly(fx.BACKTEST_PARAMS)) == rows(i.hourly(b_small))
