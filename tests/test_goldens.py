@@ -180,3 +180,24 @@ def test_message_rendering(spark):
     assert out["c2"].plain == "WARNING: cluster n2 projected at $10/day (-75% above average)"
     assert out["c3"].plain == "WARNING: cluster None projected at ?/day (? above average)"
     assert "_unknown owner_" in out["c3"].body
+
+
+def test_recency_is_inclusive_and_heartbeat_strict(spark):
+    as_of = dt.datetime(2024, 2, 1, 12, 0)
+    p = Params(as_of=as_of, alert_recency=dt.timedelta(minutes=30))
+    edge = as_of - dt.timedelta(minutes=30)
+
+    def row(ws, cid, ts, signal):
+        return (ws, ts, ts.date(), cid, "n", "o@x.com", "UI", "m.large", "m.large", 1, False, "S",
+                1.0, 1.0, 24.0, 1.0, 1.0, 3.5, signal, "r")
+
+    scores = spark.createDataFrame([
+        row(1, "edge", edge, "CRITICAL"),                                   # exactly at the cutoff: kept
+        row(1, "old", edge - dt.timedelta(microseconds=1), "WARNING"),      # just older: dropped
+        row(1, "healed", edge + dt.timedelta(minutes=1), "WARNING"),
+        row(1, "healed", edge + dt.timedelta(minutes=5), "OK"),             # latest row is OK: no alert
+        row(2, "w2", edge - dt.timedelta(hours=1), "CRITICAL"),
+    ], S.CLUSTER_SCORES)
+    assert sorted(r.cluster_id for r in alerts.alerts_latest(scores, p).collect()) == ["edge"]
+    beat = {r.workspace_id: r.stale for r in alerts.heartbeat(scores, p).collect()}
+    assert beat == {1: False, 2: True}
