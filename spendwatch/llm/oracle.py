@@ -78,7 +78,7 @@ total AS (SELECT lang, rule, sum(quality) AS n FROM judged GROUP BY ALL),
 cut AS (SELECT a.lang, a.rule, a.level, t.n, sum(b.quality) AS k, sum(1 - b.quality) AS caught
         FROM (SELECT DISTINCT lang, rule, level FROM judged) a JOIN judged b ON a.lang = b.lang AND a.rule = b.rule AND b.level >= a.level
         JOIN total t ON t.lang = a.lang AND t.rule = a.rule GROUP BY ALL),
-term AS (SELECT *, unnest(range(CAST(k AS BIGINT) + 1)) AS j FROM cut WHERE level > 0 AND caught > 0 AND k < 0.005 * n),
+term AS (SELECT *, unnest(range(CAST(k AS BIGINT) + 1)) AS j FROM cut WHERE level > 0 AND caught > 0 AND caught >= 9 * k AND k < 0.005 * n),
 tail AS (SELECT lang, rule, level, k, caught,
            sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.005) + (n - j) * ln(0.995))) AS p
          FROM term GROUP BY ALL),
@@ -91,9 +91,22 @@ SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM counts c LEFT JOIN fired f USING (doc_id)
 """
 
+CHAT = r"""
+WITH turn AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  CAST(sum(20 + 2 * (length(role) + length(text)) - length(translate(role || text, '\<>', ''))) AS BIGINT) AS formatted_chars
+FROM turn GROUP BY conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_chat_format": CHAT,
         "op6_near_dup": NEAR_DUP,
         "op8_decontamination": DECONTAMINATION,
         "op9_quality_rules": QUALITY,

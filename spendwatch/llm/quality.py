@@ -7,7 +7,8 @@ rule the cutoff is chosen on labelled documents: a cutoff may be used only if
 the exact binomial test rejects "the rule rejects at least ``risk`` of the good
 documents of this stratum" at level ``error`` divided by the number of tests
 (strata x rules x cutoffs); among the usable cutoffs the one that rejects most
-bad documents wins, then the one that rejects fewest good ones.  Without enough
+bad documents wins, then the one that rejects fewest good ones; a cutoff that
+rejects fewer than nine bad documents for each good one is not used.  Without enough
 labelled documents no cutoff is usable and the rule rejects nothing there.
 
 Defined cases: a null text has no words; a null language is a stratum of its
@@ -29,6 +30,7 @@ SPACE = r"\x20\x09-\x0D"
 RISK = 0.005
 ERROR = 0.05
 LEVELS = 32
+LEAST_YIELD = 9  # bad documents that a cutoff must reject for each good one
 # rule: (statistic, least cutoff, greatest cutoff); cutoffs are LEVELS equal steps.
 RULES = {
     "symbols": ("n_symbols / greatest(word_chars, 1)", 0.01, 0.5),
@@ -115,7 +117,8 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
     cells = cells.select("lang", "rule", "level", F.sum("good").over(whole).alias("n"),
                          F.sum("good").over(down).alias("k"), F.sum("bad").over(down).alias("caught"))
     strata = cells.select(F.countDistinct("lang").alias("strata"))
-    tested = cells.join(F.broadcast(strata)).where(f"level > 0 and caught > 0 and k < {risk} * n").withColumn(
+    tested = cells.join(F.broadcast(strata)).where(
+        f"level > 0 and caught > 0 and caught >= {LEAST_YIELD} * k and k < {risk} * n").withColumn(
         "p", _tail(F.col("k"), F.col("n"), risk)).where(F.col("p") * F.col("strata") * (len(RULES) * LEVELS) <= error)
     best = W.partitionBy("lang", "rule").orderBy(F.desc("caught"), F.asc("k"), F.desc("level"))
     return tested.withColumn("rank", F.row_number().over(best)).where("rank = 1").select("lang", "rule", "level")

@@ -6,10 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendwatch.llm import decontam, near_dup, quality
+from spendwatch.llm import chat_format, decontam, near_dup, packing, quality, secret_scan
 from spendwatch.llm.common import table
 
 
+# A conversation whose texts hold control strings of many templates.
+CONTROL_TEXT = "\\### Assistant: </turn> ok"
+
+
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat_format.digests(chat_format.format_turns(turns.unionAll(extra)))
+
+
 def op6_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -22,5 +37,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_near_dup, op8_decontamination, op9_quality_rules)}
+    return {f.__name__: f for f in (op1_secret_scan, op3_chat_format, op6_near_dup, op8_decontamination, op9_quality_rules, op10_packing)}
