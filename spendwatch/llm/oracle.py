@@ -103,11 +103,20 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turn GROUP BY conv_id
 """
 
+WARC = """
+WITH page AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+last AS (SELECT payload_digest, max(page_id) AS last FROM page WHERE payload_bytes >= 1000 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> last THEN last END AS refers_to
+FROM page LEFT JOIN last USING (payload_digest)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_chat_format": CHAT,
         "op6_near_dup": NEAR_DUP,
+        "op7_warc": WARC,
         "op8_decontamination": DECONTAMINATION,
         "op9_quality_rules": QUALITY,
     }

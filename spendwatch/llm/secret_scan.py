@@ -210,16 +210,16 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every span's text replaced by ``mark``; overlapping spans share one mark."""
-    found = scan(docs, *[c for c in docs.columns if c not in ("doc_id", "text")])
+    found = scan(docs.select("doc_id", "text", F.struct(*docs.columns).alias("whole")), "whole")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
     def step(acc: Column, x: Column) -> Column:
         gap = F.substr(F.col("text"), acc["at"] + 1, x["start"] - acc["at"])
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(
-            (x["start"] < acc["at"]) , acc["parts"]).otherwise(F.array_append(F.array_append(acc["parts"], gap), F.lit(mark))).alias("parts"))
+            x["start"] < acc["at"], acc["parts"]).otherwise(F.array_append(F.array_append(acc["parts"], gap), F.lit(mark))).alias("parts"))
 
     spans = F.array_sort(F.concat("base", "added"))
     merged = _let(F.aggregate(spans, start, step), lambda acc: F.concat(
         F.array_join(acc["parts"], ""), F.substr(F.col("text"), acc["at"] + 1, F.length("text"))))
     text = F.when(F.size("base") + F.size("added") == 0, F.col("text")).otherwise(merged)
-    return found.withColumn("text", text).select(docs.columns)
+    return found.select(*[text.alias(c) if c == "text" else F.col("whole")[c].alias(c) for c in docs.columns])
