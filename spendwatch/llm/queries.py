@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendwatch.llm import chat_format, decontam, near_dup, packing, quality, secret_scan, toxicity, url_filter, warc
+from spendwatch.llm import chat_format, decontam, near_dup, packing, quality, secret_scan, suffix_dedup, toxicity, url_filter, warc
 from spendwatch.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_turns(turns.unionAll(extra)))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -55,5 +59,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_secret_scan, op2_url_filter, op3_chat_format, op5_toxicity, op6_near_dup, op7_warc,
+        op1_secret_scan, op2_url_filter, op3_chat_format, op4_suffix_dedup, op5_toxicity, op6_near_dup, op7_warc,
         op8_decontamination, op9_quality_rules, op10_packing)}
