@@ -3,7 +3,8 @@
 Writing: one record per page.  Pages with equal payloads of at least
 ``least_revisit`` bytes share one response record, that of the largest page_id;
 the others become revisit records without a payload.  An archive holds the
-records of one task, at most RECORDS_PER_ARCHIVE.
+records of one task, at most RECORDS_PER_ARCHIVE, and is compressed as a whole;
+the reader takes plain archives too.  Offsets are those of the plain bytes.
 
 Reading: a task looks for the record magic anywhere in an archive and emits a
 candidate with the offset of its successor, computed from its own
@@ -21,6 +22,7 @@ is no record yields nothing, and a chain ends at the first broken record.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -68,7 +70,7 @@ def write_archives(decided: DataFrame, path: str) -> None:
         F.coalesce(F.concat(F.lit("\r\nWARC-Refers-To: <urn:page:"), F.col("refers_to").cast("string"), F.lit(">")), F.lit("")),
         F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(body).cast("string"), F.lit("\r\n\r\n"), body)
     decided.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").option(
-        "maxRecordsPerFile", RECORDS_PER_ARCHIVE).text(path)
+        "maxRecordsPerFile", RECORDS_PER_ARCHIVE).option("compression", "gzip").text(path)
 
 
 def candidates(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
@@ -100,6 +102,8 @@ def candidates(spark: SparkSession, path: str, with_payload: bool = False) -> Da
         for batch in batches:
             for archive, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 data = content.as_py()
+                if data.startswith(b"\x1f\x8b"):
+                    data = gzip.decompress(data)
                 rows, at = [], data.find(MAGIC)
                 while at >= 0:
                     rows.append((archive, *parsed(data, at)))
