@@ -14,7 +14,8 @@ at least the containment.  Candidates are verified by exact containment.
 
 Defined cases: null, empty and wordless texts contain and match nothing; a text
 of fewer words than a shingle is one shingle of its own; of repeated rows of
-one (doc_id, item_id) the highest containment is returned once.
+one (doc_id, item_id) the highest containment is returned once; rows with a
+null doc_id or item_id are not reported.
 """
 
 from __future__ import annotations

@@ -223,6 +223,6 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, bands: in
         found.select(F.col("id").alias("rep"), "component"), "rep", "left").select(
         "digest", F.coalesce("component", "rep").alias("component"))
     out = described.drop("keys").join(classes, "digest", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
+    component = F.when((F.col("n_shingles") == 0) | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
