@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,3 +65,17 @@ def py_bool(c: Column) -> Column:
 
 def py_str(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit("None"))
+
+
+def instant(t: dt.datetime) -> Column:
+    """A point in time as a literal, whatever the time zone of the driver or
+    the session; a datetime without a zone is UTC."""
+    aware = t if t.tzinfo else t.replace(tzinfo=dt.timezone.utc)
+    micros = (aware - dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)) // dt.timedelta(microseconds=1)
+    return F.timestamp_micros(F.lit(micros))
+
+
+def money(quantity: Column, price: Column) -> Column:
+    """PR3: quantity x price with nine decimals each; wide input types (say
+    DECIMAL(38,18)) would otherwise push the product's scale down to six."""
+    return quantity.cast("decimal(20,9)") * price.cast("decimal(17,9)")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import dataclasses
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,10 @@ from pyspark.sql import functions as F
 
 from spendwatch import schemas as S
 
+# Up to so many globs are one flat expression.
+INLINE_GLOBS = 64
+# Most rules that a rule table may hold.
+RULES_MAX = 100_000
 _REGEX_META = set(".^$*+?{}[]\\|()")
 _CLASS_META = set("\\[]^-&")
 
@@ -72,6 +77,10 @@ def glob_to_regex(pattern: str) -> str:
     return "^(?s:" + "".join(out) + ")\\z"
 
 
+def _encoded(text: str) -> str:
+    return base64.b64encode(text.encode()).decode()
+
+
 @dataclasses.dataclass(frozen=True)
 class ExclusionRules:
     """The three rule lists.  Priority when several match: id, then name
@@ -92,16 +101,37 @@ class ExclusionRules:
                 + [("creator", v) for v in self.creators])
         return spark.createDataFrame([(i + 1, t, v) for i, (t, v) in enumerate(rows)], S.EXCLUSION_RULES)
 
+    @classmethod
+    def from_frame(cls, rules: DataFrame) -> "ExclusionRules":
+        """The lists of a rule table (``schemas.EXCLUSION_RULES``), in
+        rule_order.  Rules are hand-kept configuration: more than RULES_MAX
+        of them is an error, not a truncated list."""
+        rows = rules.orderBy("rule_order").limit(RULES_MAX + 1).collect()
+        if len(rows) > RULES_MAX:
+            raise ValueError(f"more than {RULES_MAX} exclusion rules")
+        unknown = {r["rule_type"] for r in rows} - {"id", "name_glob", "creator"}
+        if unknown:
+            raise ValueError(f"unknown rule types {sorted(map(str, unknown))}")
+        of = lambda kind: tuple(r["pattern"] for r in rows if r["rule_type"] == kind)
+        return cls(of("id"), of("name_glob"), of("creator"))
+
     def name_reason(self, name: Column) -> Column:
-        """First matching pattern's reason text, else NULL (list order wins)."""
-        reason = F.lit(None).cast("string")
-        for pat in reversed(self.name_patterns):
-            hit = name.isNotNull() & name.rlike(glob_to_regex(pat))
-            reason = F.when(hit, F.lit(f"cluster_name matches pattern '{pat}'")).otherwise(reason)
-        return reason
+        """First matching pattern's reason text, else NULL (list order wins).
+
+        Short lists are one flat expression.  A long list is looked up by
+        position, and only for names that the combined pattern matches."""
+        if len(self.name_patterns) <= INLINE_GLOBS:
+            return F.coalesce(F.lit(None).cast("string"), *[
+                F.when(name.rlike(glob_to_regex(g)), F.lit(f"cluster_name matches pattern '{g}'")) for g in self.name_patterns])
+        regexes = F.split(F.lit("\n".join(_encoded(glob_to_regex(g)) for g in self.name_patterns)), "\n")
+        globs = F.split(F.lit("\n".join(_encoded(g) for g in self.name_patterns)), "\n")
+        plain = lambda x: F.decode(F.unbase64(x), "UTF-8")
+        places = F.sequence(F.lit(1), F.lit(len(self.name_patterns)))
+        first = F.element_at(F.filter(places, lambda i: F.regexp_like(name, plain(F.element_at(regexes, i)))), 1)
+        reason = F.concat(F.lit("cluster_name matches pattern '"), plain(F.element_at(globs, first)), F.lit("'"))
+        return F.when(self.name_matches(name), reason)
 
     def name_matches(self, name: Column) -> Column:
-        hit = F.lit(False)
-        for pat in self.name_patterns:
-            hit = hit | F.coalesce(name.rlike(glob_to_regex(pat)), F.lit(False))
-        return hit
+        if not self.name_patterns:
+            return F.lit(False)
+        return F.coalesce(name.rlike("|".join(glob_to_regex(g) for g in self.name_patterns)), F.lit(False))

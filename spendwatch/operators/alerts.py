@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from spendwatch import schemas as S
 from spendwatch.functions import text
-from spendwatch.functions.columns import py_str
+from spendwatch.functions.columns import instant, py_str
 from spendwatch.operators.baseline import baseline_latest
-from spendwatch.operators.joins import bounded_broadcast, broadcast_if_fits
+from spendwatch.operators.joins import broadcast_if_fits
 from spendwatch.params import Params
 
 ALERT_SIGNALS = ("WARNING", "CRITICAL")
@@ -50,7 +50,7 @@ def alerts_latest(scores: DataFrame, p: Params) -> DataFrame:
     """
     cutoff = recency_cutoff(p)
     recent = scores.where((F.col("snapshot_date") >= F.lit(cutoff.date()))
-                          & (F.col("snapshot_ts") >= F.lit(cutoff)))
+                          & (F.col("snapshot_ts") >= instant(cutoff)))
     latest = latest_by(recent, KEYS, score_order())
     return latest.where(F.col("signal").isin(*ALERT_SIGNALS)).select(*S.ALERT_COLUMNS)
 
@@ -59,7 +59,7 @@ def heartbeat(scores: DataFrame, p: Params) -> DataFrame:
     """AG15: last snapshot per workspace and whether it is older than the
     recency window."""
     last = scores.groupBy("workspace_id").agg(F.max("snapshot_ts").alias("last_snapshot_ts"))
-    return last.withColumn("stale", F.col("last_snapshot_ts") < F.lit(recency_cutoff(p)))
+    return last.withColumn("stale", F.col("last_snapshot_ts") < instant(recency_cutoff(p)))
 
 
 def last_send(log: DataFrame) -> DataFrame:
@@ -72,8 +72,8 @@ def last_send(log: DataFrame) -> DataFrame:
 def _suppressing_sends(log: DataFrame, p: Params) -> DataFrame:
     crit = p.as_of - dt.timedelta(hours=p.critical_suppression_hours)
     warn = p.as_of - dt.timedelta(hours=p.warning_suppression_hours)
-    cond = (((F.col("signal") == "CRITICAL") & (F.col("sent_at") >= F.lit(crit)))
-            | ((F.col("signal") == "WARNING") & (F.col("sent_at") >= F.lit(warn))))
+    cond = (((F.col("signal") == "CRITICAL") & (F.col("sent_at") >= instant(crit)))
+            | ((F.col("signal") == "WARNING") & (F.col("sent_at") >= instant(warn))))
     return log.where(cond).select("workspace_id", "cluster_id", "signal")
 
 
@@ -95,6 +95,8 @@ def directory_lookup(directory: DataFrame, p: Params) -> DataFrame:
 def route(alerts: DataFrame, directory: DataFrame, p: Params) -> DataFrame:
     """JN18 + PR24: trim the owner, resolve it to a messaging id (e-mails
     only) and choose recipient and routing for the mode."""
+    if not p.alert_channel:
+        raise ValueError("routing needs Params.alert_channel")
     df = alerts.withColumn(
         "creator", F.nullif(F.regexp_replace(F.col("creator"), r"^\s+|\s+$", ""), F.lit("")))
     df = df.join(directory_lookup(directory, p),
@@ -122,7 +124,7 @@ def render(routed: DataFrame, baseline: DataFrame, p: Params) -> DataFrame:
     """PR22-PR27: headline, body, plain text and deep link per alert, using
     the newest raw baseline mean of the workspace (D15, D16)."""
     means = baseline_latest(baseline).select("workspace_id", F.col("mean_daily_dollars").alias("_mean"))
-    df = routed.join(bounded_broadcast(means), "workspace_id", "left")
+    df = routed.join(means, "workspace_id", "left")
     projected = F.col("projected_daily_dollars")
     dollars = text.format_dollars(projected)
     percent = text.format_percent_above(projected, F.col("_mean"))
@@ -144,7 +146,7 @@ def alert_outbox(to_send: DataFrame, baseline: DataFrame, directory: DataFrame,
     so a retry is idempotent; the sender appends them to the send log."""
     rendered = render(route(to_send, directory, p), baseline, p)
     return rendered.select(
-        F.lit(p.as_of).cast("timestamp").alias("sent_at"), "workspace_id", "cluster_id", "signal",
+        instant(p.as_of).alias("sent_at"), "workspace_id", "cluster_id", "signal",
         "recipient", "routing", "plain", "link")
 
 

@@ -112,8 +112,11 @@ def replay(hourly: DataFrame, p: Params) -> DataFrame:
 def backtest(usage: DataFrame, prices: DataFrame, excluded: DataFrame, p: Params) -> DataFrame:
     """Bad cluster-days with their first-fire hours and outcome (R4: one
     grouped pass over the tiered hours -- the day total rides along from the
-    window, so bad days need no second aggregation and no re-join)."""
-    hourly = hourly_spend(usage, prices, excluded, p)
+    window, so bad days need no second aggregation and no re-join).
+
+    The hourly aggregate feeds the replay and the rolling baseline: it is
+    written once to the shared checkpoint folder, so usage is scanned once."""
+    hourly = checkpoint_df(hourly_spend(usage, prices, excluded, p))
     tiered = replay(hourly, p)
     if p.warmup_days:
         start = p.as_of_date - dt.timedelta(days=p.backtest_lookback_days)
@@ -155,7 +158,7 @@ def backtest_summary(results: DataFrame, checkpoint: bool = True) -> DataFrame:
     consumers, so it is checkpointed once unless it is already a table."""
     if checkpoint:
         results = checkpoint_df(results)
-    exact = F.col("actual_daily_dollars").cast("decimal(38,4)")
+    exact = F.col("actual_daily_dollars").cast("decimal(38,12)")
     grouped = results.groupBy("workspace_id", "outcome").agg(
         F.count(F.lit(1)).alias("n_days"), F.sum(exact).cast("double").alias("dollars"))
     share = F.col("n_days") / F.sum("n_days").over(Window.partitionBy("workspace_id"))

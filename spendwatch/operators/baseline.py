@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendwatch.operators.joins import bounded_broadcast
+from spendwatch.functions.columns import instant
+from spendwatch.operators.joins import broadcast_if_fits
 from spendwatch.operators.stats import exact_percentiles
-from spendwatch.params import Params
+from spendwatch.params import BROADCAST_MAX_ROWS, Params
 from spendwatch.session import checkpoint as checkpoint_df
 
 CLUSTER_DAY_KEYS = ["workspace_id", "usage_date", "cluster_id"]
@@ -58,7 +59,7 @@ def workspace_baseline(priced: DataFrame, p: Params, checkpoint: bool = True) ->
     out = moments.join(pct, "workspace_id", "left")
     return out.select(
         "workspace_id",
-        F.lit(p.as_of).cast("timestamp").alias("computed_at"),
+        instant(p.as_of).alias("computed_at"),
         F.lit(p.baseline_lookback_days).cast("int").alias("lookback_days"),
         "n_cluster_days", "mean_daily_dollars", "stddev_daily_dollars",
         *PERCENTILES.keys(), "max_daily_dollars",
@@ -94,7 +95,7 @@ def rolling_baseline(day_totals: DataFrame, p: Params, weekdays: bool | None = N
     as_of_days = totals.select("workspace_id", F.col("usage_date").alias("as_of_date")).distinct()
     pos = totals.where(F.col("daily_dollars") > 0).withColumn("log_dollars", F.ln("daily_dollars"))
     if "daily_exact" not in pos.columns:
-        pos = pos.withColumn("daily_exact", F.col("daily_dollars").cast("decimal(38,6)"))
+        pos = pos.withColumn("daily_exact", F.col("daily_dollars").cast("decimal(38,12)"))
     moments = pos.groupBy("workspace_id", "usage_date").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("daily_exact").alias("raw_sum"),
@@ -129,6 +130,6 @@ def rolling_baseline(day_totals: DataFrame, p: Params, weekdays: bool | None = N
 
 
 def attach_baseline(df: DataFrame, baseline: DataFrame, on: list[str]) -> DataFrame:
-    """Left join of a per-workspace (or per workspace-day) baseline; its size
-    is bounded by workspaces x days, so it is broadcast."""
-    return df.join(bounded_broadcast(baseline), on, "left")
+    """Left join of a per-workspace (or per workspace-day) baseline, broadcast
+    behind a size check; beyond it the planner chooses."""
+    return df.join(broadcast_if_fits(baseline, BROADCAST_MAX_ROWS), on, "left")

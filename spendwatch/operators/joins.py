@@ -41,12 +41,6 @@ def broadcast_if_known_small(df: DataFrame, known_rows: int, max_rows: int) -> D
     return F.broadcast(df) if known_rows <= max_rows else df
 
 
-def bounded_broadcast(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose size is bounded by construction (for example one
-    row per workspace, or one row per photon flag); no runtime check."""
-    return F.broadcast(df)
-
-
 def _clamp(d: Column, lo: dt.date, hi: dt.date) -> Column:
     return F.least(F.greatest(d, F.lit(lo)), F.lit(hi))
 

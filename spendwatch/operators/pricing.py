@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendwatch.functions.columns import strip_photon_suffix
-from spendwatch.operators.joins import bounded_broadcast, broadcast_if_fits
-from spendwatch.params import Params
+from spendwatch.functions.columns import instant, strip_photon_suffix
+from spendwatch.operators.joins import broadcast_if_fits
+from spendwatch.params import BROADCAST_MAX_ROWS, Params
 
 # The rate-card rows kept (all-purpose, one plan tier).
 ALL_PURPOSE_WORKLOADS = ("All-Purpose Compute", "All-Purpose Compute Photon")
@@ -39,58 +39,55 @@ def expand_aliases(rates: DataFrame, aliases: DataFrame) -> DataFrame:
     family = F.substring_index(F.col("node_type"), ".", 1)
     size = F.expr("substr(node_type, instr(node_type, '.') + 1)")
     alias_rows = (rates.where(F.col("node_type").contains("."))
-                  .join(bounded_broadcast(aliases), family == F.col("base_family"))
+                  .join(broadcast_if_fits(aliases, BROADCAST_MAX_ROWS), family == F.col("base_family"))
                   .withColumn("node_type", F.concat(F.col("alias"), F.lit("."), size))
                   .drop("alias", "base_family"))
     return rates.unionByName(alias_rows)
 
 
 def customer_rates(priced: DataFrame) -> DataFrame:
-    """AG2: one contracted rate per photon flag -- the SKU and $/DBU of the
-    most recent priced usage (ties: larger sku_name, then larger rate).  Two
-    groups at most, so the map-side partial aggregate is the whole cost."""
+    """AG2: one contracted rate per workspace and photon flag -- the SKU and
+    $/DBU of its most recent priced usage (ties: larger sku_name, then larger
+    rate).  The map-side partial aggregate leaves two rows per workspace."""
     latest = F.max_by(
         F.struct("sku_name", "dollars_per_dbu"),
         F.struct("usage_start_time", "sku_name", "dollars_per_dbu"))
-    return priced.groupBy("photon").agg(latest.alias("_r")).select(
-        "photon", F.col("_r.sku_name").alias("sku_name"),
+    return priced.groupBy("workspace_id", "photon").agg(latest.alias("_r")).select(
+        "workspace_id", "photon", F.col("_r.sku_name").alias("sku_name"),
         F.col("_r.dollars_per_dbu").cast("double").alias("dollars_per_dbu"))
 
 
 def pricing_rates(card: DataFrame, cust_rates: DataFrame, aliases: DataFrame, p: Params) -> DataFrame:
-    """JN13: rate card rows (with aliases) priced at the customer's $/DBU of
-    the same photon bucket; buckets the workspace never used are skipped."""
+    """JN13: rate card rows (with aliases) priced at each workspace's own $/DBU
+    of the same photon bucket; buckets a workspace never used are skipped.  The
+    rate card is the bounded side and is broadcast behind a size check."""
     base = all_purpose(normalise_gcp(card) if p.normalise_gcp else card)
     rows = expand_aliases(base, aliases)
-    priced = rows.join(bounded_broadcast(cust_rates), "photon")
+    priced = cust_rates.join(broadcast_if_fits(rows, p.broadcast_max_rows), "photon")
     return priced.select(
-        F.lit(p.cloud).alias("cloud"), "node_type", "workload", "photon", "sku_name",
+        "workspace_id", F.lit(p.cloud).alias("cloud"), "node_type", "workload", "photon", "sku_name",
         "dbu_per_hour", "dollars_per_dbu",
         (F.col("dbu_per_hour") * F.col("dollars_per_dbu")).alias("dollars_per_hour"),
-        F.lit(p.as_of).cast("timestamp").alias("refreshed_at"),
+        instant(p.as_of).alias("refreshed_at"),
     )
 
 
 def rates_with_fallback(rates: DataFrame) -> DataFrame:
-    """JN9-JN11 + R5: one row per (node_type, photon) holding the exact rate
-    or, when that flag has none, the opposite flag's rate.  Duplicate
-    (node_type, photon) rows keep the largest DBU/hr (D20)."""
-    dedup = rates.groupBy("node_type", "photon").agg(
+    """JN9-JN11 + R5: one row per (workspace, node_type, photon) holding the
+    exact rate or, when that flag has none, the opposite flag's rate.
+    Duplicate (workspace, node_type, photon) rows keep the largest DBU/hr (D20)."""
+    dedup = rates.groupBy("workspace_id", "node_type", "photon").agg(
         F.max(F.struct("dbu_per_hour", "dollars_per_hour")).alias("_r"))
-    exact = dedup.select("node_type", "photon", F.lit(0).alias("_prio"), "_r")
-    opposite = dedup.select("node_type", (~F.col("photon")).alias("photon"), F.lit(1).alias("_prio"), "_r")
+    exact = dedup.select("workspace_id", "node_type", "photon", F.lit(0).alias("_prio"), "_r")
+    opposite = dedup.select("workspace_id", "node_type", (~F.col("photon")).alias("photon"), F.lit(1).alias("_prio"), "_r")
     both = exact.unionByName(opposite)
-    best = both.groupBy("node_type", "photon").agg(F.min_by("_r", "_prio").alias("_r"))
-    return best.select("node_type", "photon",
+    best = both.groupBy("workspace_id", "node_type", "photon").agg(F.min_by("_r", "_prio").alias("_r"))
+    return best.select("workspace_id", "node_type", "photon",
                        F.col("_r.dbu_per_hour").alias("dbu_per_hour"),
                        F.col("_r.dollars_per_hour").alias("dollars_per_hour"))
 
 
 def sku_by_photon(rates: DataFrame) -> DataFrame:
-    """JN12: the bucket-level SKU per photon flag."""
-    return rates.groupBy("photon").agg(F.max("sku_name").alias("sku_name"))
+    """JN12: the bucket-level SKU per workspace and photon flag."""
+    return rates.groupBy("workspace_id", "photon").agg(F.max("sku_name").alias("sku_name"))
 
-
-def rate_table_for_lookup(rates: DataFrame, p: Params) -> DataFrame:
-    """The fallback rate table, broadcast behind a size check."""
-    return broadcast_if_fits(rates_with_fallback(rates), p.broadcast_max_rows)

@@ -9,7 +9,7 @@ from spendwatch.functions.columns import (
     driver_type, fmt_grouped, fmt_plain, is_photon, log_z, py_bool, py_str, worker_count)
 from spendwatch.functions.rules import ExclusionRules
 from spendwatch.operators.baseline import attach_baseline, baseline_latest
-from spendwatch.operators.joins import bounded_broadcast, broadcast_if_fits, broadcast_if_known_small
+from spendwatch.operators.joins import broadcast_if_fits, broadcast_if_known_small
 from spendwatch.operators.pricing import rates_with_fallback, sku_by_photon
 from spendwatch.params import Params
 
@@ -61,10 +61,10 @@ def exclusion_reason(inv: DataFrame, rules: ExclusionRules, p: Params) -> DataFr
 
 
 def _rate_lookup(df: DataFrame, rates: DataFrame, node_col: str, prefix: str) -> DataFrame:
-    r = rates.select(F.col("node_type").alias(f"{prefix}_node"), F.col("photon").alias(f"{prefix}_photon"),
+    r = rates.select(F.col("workspace_id").alias(f"{prefix}_ws"), F.col("node_type").alias(f"{prefix}_node"), F.col("photon").alias(f"{prefix}_photon"),
                      F.col("dbu_per_hour").alias(f"{prefix}_dbu"), F.col("dollars_per_hour").alias(f"{prefix}_dph"))
-    cond = (F.col(node_col) == F.col(f"{prefix}_node")) & (F.col("photon") == F.col(f"{prefix}_photon"))
-    return df.join(r, cond, "left").drop(f"{prefix}_node", f"{prefix}_photon")
+    cond = (F.col("workspace_id") == F.col(f"{prefix}_ws")) & (F.col(node_col) == F.col(f"{prefix}_node")) & (F.col("photon") == F.col(f"{prefix}_photon"))
+    return df.join(r, cond, "left").drop(f"{prefix}_ws", f"{prefix}_node", f"{prefix}_photon")
 
 
 def inventory_columns(inv: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def inventory_columns(inv: DataFrame) -> DataFrame:
 def lookup_exact(inv: DataFrame, rates: DataFrame, p: Params) -> DataFrame:
     """JN9/JN10 without fallback: driver and worker DBU/hr for the cluster's
     own photon flag."""
-    table = rates.groupBy("node_type", "photon").agg(
+    table = rates.groupBy("workspace_id", "node_type", "photon").agg(
         F.max("dbu_per_hour").alias("dbu_per_hour"), F.max("dollars_per_hour").alias("dollars_per_hour"))
     table = broadcast_if_fits(table, p.broadcast_max_rows)
     cols = inventory_columns(inv)
@@ -119,9 +119,9 @@ def score_inventory(inv: DataFrame, rates: DataFrame, baseline: DataFrame, rules
                     p: Params) -> DataFrame:
     """The monitor: one scored row per live inventory snapshot.
 
-    All right-hand sides are small and broadcast (rates behind a size check;
-    per-workspace baseline and per-flag SKU bounded by construction), so the
-    inventory flows through one narrow stage with no Exchange.
+    The right-hand sides (rates, baseline and SKU of each workspace) are
+    broadcast behind size checks, so the inventory flows through one narrow
+    stage with no Exchange.
     """
     if "cloud" in rates.columns:
         rates = rates.where(F.col("cloud") == p.cloud)  # FL9
@@ -132,10 +132,10 @@ def score_inventory(inv: DataFrame, rates: DataFrame, baseline: DataFrame, rules
         F.coalesce("stddev_daily_dollars", F.lit(0.0)).alias("baseline_stddev"),
         F.coalesce("mean_log_daily_dollars", F.lit(0.0)).alias("_mu_log"),
         F.coalesce("stddev_log_daily_dollars", F.lit(0.0)).alias("_sd_log"))
-    skus = bounded_broadcast(sku_by_photon(rates))
+    skus = broadcast_if_fits(sku_by_photon(rates), p.broadcast_max_rows)
 
     df = inventory_columns(live_inventory(inv))
-    df = df.join(skus, "photon", "left")
+    df = df.join(skus, ["workspace_id", "photon"], "left")
     df = _rate_lookup(df, table, "driver_node_type", "drv")
     df = _rate_lookup(df, table, "node_type", "wkr")
     df = exclusion_reason(df, rules, p)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,19 +20,17 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_scores(scores: DataFrame, path: str, mode: str = "append", files_per_date: int = 1) -> None:
+def write_scores(scores: DataFrame, path: str, mode: str = "append") -> None:
     """SK3: ``cluster_scores`` partitioned by the derived ``snapshot_date`` so
     date predicates prune whole directories.
 
-    Rows are clustered by (date, cluster hash bucket) first, so every date
-    gets at most ``files_per_date`` files instead of one per task.  A poll
-    holds one date; raise ``files_per_date`` when a poll is large enough to
-    want several writer tasks.
+    A rebalance hint brings the rows of a date together, and adaptive
+    execution splits a large date into several writer tasks of the advisory
+    size: a small poll is one file, a large one is not one task.
     """
     if "snapshot_date" not in scores.columns:
         scores = scores.withColumn("snapshot_date", F.to_date("snapshot_ts"))
-    bucket = F.pmod(F.hash("cluster_id"), F.lit(files_per_date))
-    (scores.repartition("snapshot_date", bucket)
+    (scores.hint("rebalance", "snapshot_date")
      .write.mode(mode).partitionBy("snapshot_date").parquet(path))
 
 
@@ -40,10 +39,10 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     schema instead of failing."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception as exc:  # missing path
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], schema)
-        raise
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:

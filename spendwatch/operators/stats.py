@@ -22,7 +22,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spendwatch.operators.joins import bounded_broadcast
 
 BUCKETS_PER_UNIT = 10_000
 
@@ -58,7 +57,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
                .where(F.size("_w") > 0))
 
     # 4. distinct values of the target buckets only, ranked inside their bucket.
-    targets = bounded_broadcast(located.select(*keys, "_b", "_before"))
+    targets = located.select(*keys, "_b", "_before")
     # Aggregate before shuffling: duplicates of a hot value collapse map-side.
     values = (v.join(targets, [*keys, "_b"])
               .groupBy(*keys, "_b", "_v").agg(F.count(F.lit(1)).alias("_m"), F.first("_before").alias("_before")))
@@ -70,7 +69,7 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
 
     # 5. the value holding each wanted rank.
     ranks = located.select(*keys, "_b", F.explode("_w").alias("_w")).select(*keys, "_b", "_w.*")
-    picked = values.join(bounded_broadcast(ranks), [*keys, "_b"]).where(
+    picked = values.join(ranks, [*keys, "_b"]).where(
         (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_m")))
 
     # 6. interpolate: (ceil - pos) * v[floor] + (pos - floor) * v[ceil].

@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendwatch.functions.columns import photon_flag
+from spendwatch.functions.columns import money, photon_flag
 from spendwatch.functions.rules import ExclusionRules
-from spendwatch.operators.joins import broadcast_if_known_small, price_join
-from spendwatch.params import Params
+from spendwatch.operators.joins import broadcast_if_fits, broadcast_if_known_small, price_join
+from spendwatch.params import BROADCAST_MAX_ROWS, Params
 
 KEYS = ["workspace_id", "cluster_id"]
 
@@ -47,6 +47,19 @@ def active_clusters(usage: DataFrame, p: Params, days: int | None = None) -> Dat
     return usage_scan(usage, p, days).select(*KEYS).distinct()
 
 
+def _history_matches(rules: ExclusionRules, history: DataFrame, max_rows: int) -> DataFrame:
+    """Clusters of which any recorded version matches a name or creator rule.
+    De-duplicated map-side before the shuffle: a cluster with very many
+    versions is not a hot key."""
+    hit = rules.name_matches(F.col("cluster_name"))
+    hist = history.select(*KEYS, "cluster_name", "owned_by")
+    if rules.creators:
+        creators = broadcast_if_known_small(rules.creators_frame(history.sparkSession), len(rules.creators), max_rows)
+        hist = hist.join(creators, F.col("owned_by") == F.col("rule_creator"), "left")
+        hit = hit | F.col("rule_creator").isNotNull()
+    return hist.where(hit).select(*KEYS).distinct()
+
+
 def resolve_exclusions(rules: ExclusionRules, history: DataFrame, active: DataFrame,
                        max_rows: int = 2_000_000) -> DataFrame:
     """JN3 + ST1: (workspace, cluster) pairs to exclude, bounded to ``active``.
@@ -62,16 +75,7 @@ def resolve_exclusions(rules: ExclusionRules, history: DataFrame, active: DataFr
         ids = broadcast_if_known_small(rules.ids_frame(spark), len(rules.ids), max_rows)
         parts.append(active.join(ids, F.col("cluster_id") == F.col("rule_id"), "left_semi"))
     if rules.name_patterns or rules.creators:
-        hit = rules.name_matches(F.col("cluster_name"))
-        hist = history.select(*KEYS, "cluster_name", "owned_by")
-        if rules.creators:
-            creators = broadcast_if_known_small(rules.creators_frame(spark), len(rules.creators), max_rows)
-            hist = hist.join(creators, F.col("owned_by") == F.col("rule_creator"), "left")
-            hit = hit | F.col("rule_creator").isNotNull()
-        # One row per matching cluster, de-duplicated map-side before the
-        # shuffle: a cluster with very many recorded versions is not a hot key.
-        matched = hist.where(hit).select(*KEYS).distinct()
-        parts.append(active.join(matched, KEYS, "left_semi"))
+        parts.append(active.join(_history_matches(rules, history, max_rows), KEYS, "left_semi"))
     if not parts:
         return active.limit(0)
     out = parts[0]
@@ -80,15 +84,29 @@ def resolve_exclusions(rules: ExclusionRules, history: DataFrame, active: DataFr
     return out.distinct()
 
 
-def drop_excluded(usage_rows: DataFrame, excluded: DataFrame) -> DataFrame:
-    """JN4: anti join instead of a literal NOT IN list (no size limit)."""
-    return usage_rows.join(excluded.select(*KEYS), KEYS, "left_anti")
+def exclusion_keys(rules: ExclusionRules, history: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """(workspace, cluster) keys that the rules name, straight from rules and
+    history: an anti join needs no bound by the active clusters, so usage is
+    not scanned for it.  An id rule has a NULL workspace: any workspace."""
+    spark = history.sparkSession
+    out = rules.ids_frame(spark).select(F.lit(None).cast("long").alias("workspace_id"), F.col("rule_id").alias("cluster_id"))
+    if rules.name_patterns or rules.creators:
+        out = out.unionByName(_history_matches(rules, history, max_rows))
+    return out
+
+
+def drop_excluded(usage_rows: DataFrame, excluded: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """JN4: anti join instead of a literal NOT IN list (no size limit); the
+    keys are broadcast behind a size check, so usage rows stay where they are."""
+    e = broadcast_if_fits(excluded.select(F.col("workspace_id").alias("_x_ws"), F.col("cluster_id").alias("_x_id")), max_rows)
+    same = (F.col("cluster_id") == F.col("_x_id")) & (F.col("_x_ws").isNull() | (F.col("workspace_id") == F.col("_x_ws")))
+    return usage_rows.join(e, same, "left_anti")
 
 
 def priced_usage(usage: DataFrame, prices: DataFrame, excluded: DataFrame, p: Params) -> DataFrame:
     """SC8: the baseline path -- window usage, excluded clusters dropped, inner
     temporal join with the price in force; money stays DECIMAL."""
-    rows = drop_excluded(usage_scan(usage, p), excluded)
+    rows = drop_excluded(usage_scan(usage, p), excluded, p.broadcast_max_rows)
     lo, hi = window_bounds(p, p.baseline_lookback_days)
     j = price_join(rows, prices, "inner", lo - dt.timedelta(days=1), hi + dt.timedelta(days=1),
                    p.broadcast_max_rows)
@@ -97,7 +115,7 @@ def priced_usage(usage: DataFrame, prices: DataFrame, excluded: DataFrame, p: Pa
         photon_flag(F.col("sku_name")).alias("photon"),
         F.col("usage_quantity").alias("dbus"),
         "dollars_per_dbu",
-        (F.col("usage_quantity") * F.col("dollars_per_dbu")).alias("dollars"),
+        money(F.col("usage_quantity"), F.col("dollars_per_dbu")).alias("dollars"),
     )
 
 
@@ -121,7 +139,7 @@ def hourly_spend(usage: DataFrame, prices: DataFrame, excluded: DataFrame, p: Pa
     """The backtest path: left temporal join (unpriced usage costs 0), summed
     per cluster-hour.  Partial aggregation happens before the shuffle."""
     days = p.backtest_lookback_days + p.warmup_days if days is None else days
-    rows = drop_excluded(usage_scan(usage, p, days), excluded)
+    rows = drop_excluded(usage_scan(usage, p, days), excluded, p.broadcast_max_rows)
     lo, hi = window_bounds(p, days)
     j = price_join(rows, prices, "left", lo - dt.timedelta(days=1), hi + dt.timedelta(days=1),
                    p.broadcast_max_rows)
@@ -131,7 +149,7 @@ def hourly_spend(usage: DataFrame, prices: DataFrame, excluded: DataFrame, p: Pa
         F.hour("usage_start_time").alias("hour_of_day"),
         "cluster_id",
         F.col("usage_quantity").alias("dbus"),
-        (F.col("usage_quantity") * F.coalesce(F.col("dollars_per_dbu"), F.lit(0))).alias("dollars"),
+        money(F.col("usage_quantity"), F.coalesce(F.col("dollars_per_dbu"), F.lit(0))).alias("dollars"),
     )
     return priced.groupBy("workspace_id", "usage_date", "hour_ts", "hour_of_day", "cluster_id").agg(
         F.sum("dbus").alias("dbus"), F.sum("dollars").alias("dollars"))

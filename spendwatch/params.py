@@ -6,10 +6,15 @@ import dataclasses
 import datetime as dt
 
 
+# Largest dimension (in rows) that is broadcast.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
 @dataclasses.dataclass(frozen=True)
 class Params:
     # The clock.  Every "now" / "today" in the pipeline is derived from it, so a
-    # run is reproducible and a replay is just another value.
+    # run is reproducible and a replay is just another value.  Without a time
+    # zone it is UTC; one with a zone is converted.
     as_of: dt.datetime = dt.datetime(2024, 1, 31, 0, 0, 0)
 
     # Scoring thresholds (all strict ">").
@@ -33,7 +38,7 @@ class Params:
     warning_suppression_hours: int = 24
     critical_suppression_hours: int = 4
     routing_mode: str = "channel_only"  # or "dm_with_fallback"
-    alert_channel: str = "#cost-alerts"
+    alert_channel: str = ""  # required for routing
     workspace_host: str = "workspace.example.com"
 
     # Pricing.
@@ -42,7 +47,11 @@ class Params:
 
     # Largest dimension (in rows) that may be broadcast; beyond it the
     # operators switch to a shuffle plan with the same result.
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int = BROADCAST_MAX_ROWS
+
+    def __post_init__(self) -> None:
+        if self.as_of.tzinfo is not None:
+            object.__setattr__(self, "as_of", self.as_of.astimezone(dt.timezone.utc).replace(tzinfo=None))
 
     @property
     def as_of_date(self) -> dt.date:

@@ -63,8 +63,11 @@ class Inputs:
         active = usage.active_clusters(self.usage, p, days)
         return usage.resolve_exclusions(self.rules, self.history, active, p.broadcast_max_rows)
 
+    def excluded_keys(self, p: Params) -> DataFrame:
+        return usage.exclusion_keys(self.rules, self.history, p.broadcast_max_rows)
+
     def priced(self, p: Params = fx.USAGE_PARAMS) -> DataFrame:
-        return usage.priced_usage(self.usage, self.prices, self.excluded(p, p.baseline_lookback_days), p)
+        return usage.priced_usage(self.usage, self.prices, self.excluded_keys(p), p)
 
     def baseline(self, p: Params = fx.USAGE_PARAMS) -> DataFrame:
         return baseline.workspace_baseline(self.priced(p), p)
@@ -111,12 +114,10 @@ class Inputs:
         return alerts.alerts_to_send(self.alerts(p), self.send_log(p), p)
 
     def hourly(self, p: Params = fx.BACKTEST_PARAMS) -> DataFrame:
-        days = p.backtest_lookback_days + p.warmup_days
-        return usage.hourly_spend(self.usage, self.prices, self.excluded(p, days), p)
+        return usage.hourly_spend(self.usage, self.prices, self.excluded_keys(p), p)
 
     def backtest(self, p: Params = fx.BACKTEST_PARAMS) -> DataFrame:
-        days = p.backtest_lookback_days + p.warmup_days
-        return backtest.backtest(self.usage, self.prices, self.excluded(p, days), p)
+        return backtest.backtest(self.usage, self.prices, self.excluded_keys(p), p)
 
 
 def older(p: Params, days: int) -> Params:

@@ -7,7 +7,7 @@ Jobs meet only through tables (parquet under ``Tables.base``):
 * ``monitor`` (every 15 minutes): scores an inventory snapshot and appends
   it to ``cluster_scores`` (partitioned by ``snapshot_date``);
 * ``route_alerts`` (every 30 minutes): latest alerts minus suppressed ones
-  become the ``alert_outbox``; the send log is appended in the same run;
+  become the run's part of ``alert_outbox`` and of ``alert_send_log``;
 * ``run_backtest`` (manual): overwrites ``backtest_results``.
 """
 
@@ -20,9 +20,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from spendwatch import schemas as S
+from spendwatch.functions.columns import instant
 from spendwatch.functions.rules import ExclusionRules
 from spendwatch.operators import alerts, backtest, baseline, pricing, scoring, sinks, usage
 from spendwatch.params import Params
+from spendwatch.session import checkpoint, require_utc
 
 
 @contextlib.contextmanager
@@ -48,43 +50,53 @@ class Tables:
 def baseline_refresh(spark: SparkSession, t: Tables, usage_df: DataFrame, prices: DataFrame,
                      history: DataFrame, card: DataFrame, aliases: DataFrame, rules: ExclusionRules,
                      p: Params) -> dict[str, int]:
-    active = usage.active_clusters(usage_df, p)
-    excluded = usage.resolve_exclusions(rules, history, active, p.broadcast_max_rows)
+    require_utc(spark)
+    excluded = usage.exclusion_keys(rules, history, p.broadcast_max_rows)
     counts = Observation("priced")
     priced = usage.priced_usage(usage_df, prices, excluded, p).observe(counts, F.count(F.lit(1)).alias("rows"))
     with persisted(priced) as cached:
         rates = pricing.pricing_rates(card, pricing.customer_rates(cached), aliases, p)
         sinks.overwrite(baseline.workspace_baseline(cached, p, checkpoint=False), t.path("workspace_baseline"))
         sinks.overwrite(rates, t.path("pricing_rates"))
-    return {"priced_rows": counts.get["rows"]}
+    written = {name: spark.read.parquet(t.path(name)).count() for name in ("workspace_baseline", "pricing_rates")}
+    return {"priced_rows": counts.get["rows"], **{f"{name}_rows": n for name, n in written.items()}}
 
 
 def monitor(spark: SparkSession, t: Tables, inventory: DataFrame, rules: ExclusionRules, p: Params) -> None:
+    """Stops without a baseline: a mistyped path must not mark every cluster
+    as unknown."""
+    require_utc(spark)
     rates = sinks.read_or_empty(spark, t.path("pricing_rates"), S.PRICING_RATES)
     base = sinks.read_or_empty(spark, t.path("workspace_baseline"), S.WORKSPACE_BASELINE)
+    if base.limit(1).count() == 0:
+        raise ValueError(f"no baseline rows under {t.path('workspace_baseline')}; run baseline_refresh first")
     sinks.write_scores(scoring.score_inventory(inventory, rates, base, rules, p), t.path("cluster_scores"))
 
 
 def route_alerts(spark: SparkSession, t: Tables, directory: DataFrame, p: Params) -> DataFrame:
-    """Writes this run's outbox (keyed by ``sent_at`` = ``p.as_of``) and
-    appends the matching send-log rows; returns the outbox."""
+    """Writes this run's outbox and its part of the send log, both keyed by
+    ``p.as_of`` and overwritten; returns the outbox.  A run repeated with the
+    same ``as_of`` ignores its own log rows, so both come out identical."""
+    require_utc(spark)
+    if not p.alert_channel:
+        raise ValueError("route_alerts needs Params.alert_channel")
+    run = f"{p.as_of:%Y%m%dT%H%M%S%f}"
     scores = sinks.read_scores(spark, t.path("cluster_scores"))
-    log = sinks.read_send_log(spark, t.path("alert_send_log"))
+    log = sinks.read_send_log(spark, t.path("alert_send_log")).where(F.col("sent_at") != instant(p.as_of))
     base = sinks.read_or_empty(spark, t.path("workspace_baseline"), S.WORKSPACE_BASELINE)
     to_send = alerts.alerts_to_send(alerts.alerts_latest(scores, p), log, p)
-    outbox_path = t.path(f"alert_outbox/sent_at={p.as_of:%Y%m%dT%H%M%S}")
+    outbox_path = t.path(f"alert_outbox/run={run}")
     sinks.overwrite(alerts.alert_outbox(to_send, base, directory, p), outbox_path)
     outbox = spark.read.parquet(outbox_path)
-    sinks.append(alerts.outbox_to_log(outbox), t.path("alert_send_log"))
+    sinks.overwrite(alerts.outbox_to_log(outbox), t.path(f"alert_send_log/run={run}"))
     return outbox
 
 
 def run_backtest(spark: SparkSession, t: Tables, usage_df: DataFrame, prices: DataFrame, history: DataFrame,
                  rules: ExclusionRules, p: Params) -> DataFrame:
-    days = p.backtest_lookback_days + p.warmup_days
-    excluded = usage.resolve_exclusions(rules, history, usage.active_clusters(usage_df, p, days),
-                                        p.broadcast_max_rows)
-    raw = backtest.backtest(usage_df, prices, excluded, p)
+    require_utc(spark)
+    excluded = usage.exclusion_keys(rules, history, p.broadcast_max_rows)
+    raw = checkpoint(backtest.backtest(usage_df, prices, excluded, p))
     results = backtest.enrich(raw, backtest.meta_for(raw, history))
     sinks.overwrite(results, t.path("backtest_results"))
     return spark.read.parquet(t.path("backtest_results"))

@@ -12,13 +12,11 @@ from pyspark.sql import functions as F
 from spendwatch import schemas as S
 from spendwatch.functions.columns import driver_type, is_photon, photon_flag, worker_count
 from spendwatch.operators import alerts, backtest, baseline, pricing, scoring, sinks, usage
+from spendwatch.plans import streams
 from spendwatch.plans.inputs import Inputs, older
-from spendwatch.session import scratch_path
+from spendwatch.session import checkpoint, scratch_path
 from spendwatch.sources import fixtures as fx
 from spendwatch.sources.readers import rate_card_scan, write_json_lines
-from spendwatch.streaming import hourly as stream_hourly_mod
-from spendwatch.streaming import scores as stream_scores_mod
-from spendwatch.streaming import suppression as stream_supp_mod
 
 U, B, SC, AL = fx.USAGE_PARAMS, fx.BACKTEST_PARAMS, fx.SCORING_PARAMS, fx.ALERT_PARAMS
 
@@ -283,7 +281,7 @@ def q_cluster_meta_latest(i: Inputs) -> DataFrame:
 
 
 def q_backtest_enriched(i: Inputs) -> DataFrame:
-    raw = i.backtest(B)
+    raw = checkpoint(i.backtest(B))  # two consumers
     return r6(backtest.enrich(raw, backtest.meta_for(raw, i.history)), "z_score")
 
 
@@ -318,16 +316,16 @@ def q_sink_partitioned_scores(i: Inputs) -> DataFrame:
 
 # --- streaming ------------------------------------------------------------------------------------
 def q_stream_scores(i: Inputs) -> DataFrame:
-    out = stream_scores_mod.run_from_inventory(i, SC)
+    out = streams.scores_from_inventory(i, SC)
     return r6(out.select(*[c.name for c in S.CLUSTER_SCORES.fields]), *SCORE_DOUBLES)
 
 
 def q_stream_hourly_spend(i: Inputs) -> DataFrame:
-    return dbl(stream_hourly_mod.run_from_usage(i, B), "dbus", "dollars")
+    return dbl(streams.hourly_from_usage(i, B), "dbus", "dollars")
 
 
 def q_stream_suppression(i: Inputs) -> DataFrame:
-    out = stream_supp_mod.run_from_alerts(i, AL)
+    out = streams.suppression_from_alerts(i, AL)
     return r6(out.select("workspace_id", "cluster_id", "signal", "projected_daily_dollars"),
               "projected_daily_dollars")
 

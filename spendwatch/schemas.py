@@ -2,7 +2,8 @@
 
 from pyspark.sql import types as T
 
-MONEY = T.DecimalType(18, 2)
+# Nine decimals each, so a product of quantity and price keeps all digits.
+MONEY = T.DecimalType(20, 9)
 
 USAGE = T.StructType([
     T.StructField("workspace_id", T.LongType()),
@@ -14,29 +15,6 @@ USAGE = T.StructType([
     T.StructField("usage_quantity", MONEY),
 ])
 
-PRICES = T.StructType([
-    T.StructField("sku_name", T.StringType()),
-    T.StructField("price_start_time", T.TimestampType()),
-    T.StructField("price_end_time", T.TimestampType()),
-    T.StructField("pricing", T.StructType([T.StructField("default", MONEY)])),
-])
-
-CLUSTERS_HISTORY = T.StructType([
-    T.StructField("workspace_id", T.LongType()),
-    T.StructField("cluster_id", T.StringType()),
-    T.StructField("cluster_name", T.StringType()),
-    T.StructField("owned_by", T.StringType()),
-    T.StructField("change_time", T.TimestampType()),
-    T.StructField("change_seq", T.LongType()),  # tie-break for equal change_time
-])
-
-RATE_CARD = T.StructType([
-    T.StructField("instance", T.StringType()),
-    T.StructField("compute", T.StringType()),
-    T.StructField("plan", T.StringType()),
-    T.StructField("dburate", T.DoubleType()),
-])
-
 EXECUTOR = T.StructType([T.StructField("node_id", T.StringType())])
 
 INVENTORY = T.StructType([
@@ -83,6 +61,7 @@ DIRECTORY = T.StructType([
 ])
 
 PRICING_RATES = T.StructType([
+    T.StructField("workspace_id", T.LongType()),
     T.StructField("cloud", T.StringType()),
     T.StructField("node_type", T.StringType()),
     T.StructField("workload", T.StringType()),
@@ -138,16 +117,3 @@ ALERT_COLUMNS = [
     "num_workers", "photon", "sku_name", "dbu_per_hour", "dollars_per_hour",
     "projected_daily_dollars", "z_score", "signal", "reason",
 ]
-
-HOURLY_SPEND_COLUMNS = ["workspace_id", "usage_date", "hour_ts", "hour_of_day", "cluster_id", "dbus", "dollars"]
-
-BACKTEST_RESULTS_COLUMNS = [
-    "workspace_id", "usage_date", "cluster_id", "cluster_name", "creator", "actual_daily_dollars",
-    "z_score", "first_alert_hour", "first_critical_hour", "budget_crossed_hour", "last_active_hour",
-    "outcome", "lead_hours",
-]
-
-# Signal and outcome vocabularies (fixed values).
-SIGNALS = ["OK", "WARNING", "CRITICAL", "UNKNOWN", "EXCLUDED"]
-OUTCOMES = ["MISS", "CAUGHT_EARLY", "CAUGHT_AT_CROSSING", "CAUGHT_LATE"]
-ROUTINGS = ["dm", "fallback_channel", "channel_only"]

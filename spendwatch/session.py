@@ -3,7 +3,8 @@ location taken from ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -40,6 +41,24 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "spe
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Hour and date functions follow the session time zone; the jobs are
+    written for UTC and do not change the caller's session."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC (it is {zone})")
+
+
+def _private_dir(master: str) -> str:
+    """A folder of this process, removed at its end; only for a local master,
+    where all tasks run on this machine."""
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    path = tempfile.mkdtemp(prefix="spendwatch-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Hour/date functions follow the session time zone; the pipeline is UTC."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
@@ -50,14 +69,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint directory.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a private directory is created.
+    is.  Only when it is unset on a local master (tests) a private directory is
+    created, and removed when the process ends; elsewhere this raises.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no SparkContext on the client
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            configured = tempfile.mkdtemp(prefix="spendwatch-ckpt-")
+            configured = _private_dir(spark.conf.get("spark.master", ""))
             spark.conf.set("spark.checkpoint.dir", configured)
         return configured
     current = sc.getCheckpointDir()
@@ -67,7 +87,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="spendwatch-ckpt-"))
+    sc.setCheckpointDir(_private_dir(sc.master))
     return sc.getCheckpointDir()
 
 
@@ -77,19 +97,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/spendwatch-{name}-{uuid.uuid4().hex}"
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_dir(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def makedirs_if_local(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_dir(path), exist_ok=True)
-
-
 def checkpoint(df):
     """Reliable checkpoint into the shared checkpoint directory (never
     ``localCheckpoint``): the frame is written once and its lineage cut, so a

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendwatch import schemas as S
+from spendwatch.functions.columns import instant
 from spendwatch.functions.rules import ExclusionRules
 from spendwatch.params import Params
 from spendwatch.sources.readers import read_table
@@ -172,7 +173,7 @@ def send_log(spark: SparkSession, sf_dir: str, p: Params) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     ship = _ts("l_shipdate")
     return li.where(
-        F.col("l_returnflag").isin("A", "N") & ((F.col("l_partkey") % 10) == 0) & (ship <= F.lit(p.as_of))
+        F.col("l_returnflag").isin("A", "N") & ((F.col("l_partkey") % 10) == 0) & (ship <= instant(p.as_of))
     ).select(
         F.timestamp_add("HOUR", F.col("l_linenumber"), ship).alias("sent_at"),
         _ws("l_suppkey").alias("workspace_id"),
@@ -206,4 +207,4 @@ SCORING_PARAMS = Params(as_of=dt.datetime(2024, 1, 31), budget_daily_dollars=150
 ALERT_PARAMS = SCORING_PARAMS.replace(
     as_of=dt.datetime(1998, 6, 1, 12, 0), alert_recency=dt.timedelta(days=90),
     warning_suppression_hours=960, critical_suppression_hours=480,
-    routing_mode="dm_with_fallback")
+    routing_mode="dm_with_fallback", alert_channel="#cost-alerts")

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spendwatch import schemas as S
+from spendwatch.functions.columns import money
 from spendwatch.operators.joins import price_join
 from spendwatch.operators.usage import drop_excluded, usage_scan, window_bounds
 from spendwatch.params import Params
-from spendwatch.streaming.common import run_available_now, stream_dirs
 
 
 def hourly_stream(usage_stream: DataFrame, prices: DataFrame, excluded: DataFrame, p: Params,
@@ -24,7 +24,7 @@ def hourly_stream(usage_stream: DataFrame, prices: DataFrame, excluded: DataFram
     priced = price_join(rows, prices, "left", lo - dt.timedelta(days=1), hi + dt.timedelta(days=1),
                         p.broadcast_max_rows)
     priced = priced.withColumn(
-        "dollars", F.col("usage_quantity") * F.coalesce(F.col("dollars_per_dbu"), F.lit(0)))
+        "dollars", money(F.col("usage_quantity"), F.coalesce(F.col("dollars_per_dbu"), F.lit(0))))
     agg = (priced.withWatermark("usage_start_time", watermark)
            .groupBy(F.window("usage_start_time", "1 hour"), "workspace_id", "usage_date", "cluster_id")
            .agg(F.sum("usage_quantity").alias("dbus"), F.sum("dollars").alias("dollars")))
@@ -35,21 +35,10 @@ def hourly_stream(usage_stream: DataFrame, prices: DataFrame, excluded: DataFram
 
 def stream_hourly(spark: SparkSession, src: str, prices: DataFrame, excluded: DataFrame, p: Params,
                   out: str, checkpoint: str, watermark: str = "2 hours") -> StreamingQuery:
-    usage_stream = spark.readStream.schema(S.USAGE).option("maxFilesPerTrigger", 1).parquet(src)
+    """All files that have arrived are one batch: the watermark moves only
+    after it, so files of one arrival cannot make each other late."""
+    usage_stream = spark.readStream.schema(S.USAGE).parquet(src)
     hourly = hourly_stream(usage_stream, prices, excluded, p, watermark)
     return (hourly.writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out))
 
-
-def run_from_usage(inputs, p: Params) -> DataFrame:
-    """Fixture usage in two arrivals (first half of the month, then the rest);
-    returns the closed hours the stream emitted."""
-    spark = inputs.spark
-    src, out, ckpt = stream_dirs(spark, "stream-hourly")
-    days = p.backtest_lookback_days + p.warmup_days
-    excluded = inputs.excluded(p, days)
-    split = F.lit("2024-01-16").cast("date")
-    for part in (F.col("usage_date") < split, F.col("usage_date") >= split):
-        inputs.usage.where(part).write.mode("append").parquet(src)
-        run_available_now(stream_hourly(spark, src, inputs.prices, excluded, p, out, ckpt))
-    return spark.read.parquet(out)

@@ -11,7 +11,6 @@ from spendwatch import schemas as S
 from spendwatch.functions.rules import ExclusionRules
 from spendwatch.operators.scoring import score_inventory
 from spendwatch.params import Params
-from spendwatch.streaming.common import run_available_now, stream_dirs
 
 
 def stream_scores(spark: SparkSession, src: str, rates: DataFrame, baseline: DataFrame,
@@ -34,20 +33,3 @@ def stream_scores(spark: SparkSession, src: str, rates: DataFrame, baseline: Dat
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="15 minutes")
     return writer.start(out)
 
-
-def run_from_inventory(inputs, p: Params) -> DataFrame:
-    """Feed the fixture inventory in two arrivals with a restart in between
-    and return everything the stream wrote (equals the batch scores).
-
-    The fixture spreads snapshots over ~2,500 dates (a real poll holds one),
-    so this check writes unpartitioned; the date-partitioned layout and its
-    pruning are covered by ``sink_partitioned_scores`` and the plan tests."""
-    spark = inputs.spark
-    src, out, ckpt = stream_dirs(spark, "stream-scores")
-    inv = inputs.inventory
-    rates, base = inputs.rates_table(p), inputs.baseline_table(p)
-    for k in range(2):
-        inv.where((F.col("num_workers") % 2) == k).write.mode("append").parquet(src)
-        run_available_now(stream_scores(spark, src, rates, base, inputs.rules, p, out, ckpt,
-                                        partition_by_date=False))
-    return spark.read.parquet(out)

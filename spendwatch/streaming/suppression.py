@@ -15,20 +15,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spendwatch import schemas as S
 from spendwatch.operators import alerts as A
+from spendwatch.operators.sinks import read_send_log
 from spendwatch.params import Params
-from spendwatch.streaming.common import run_available_now, stream_dirs
 
 
 def read_log(spark: SparkSession, log_path: str) -> DataFrame:
-    try:
-        return spark.read.parquet(log_path).select(*[f.name for f in S.SEND_LOG.fields])
-    except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc) or "UNABLE_TO_INFER" in str(exc):
-            return spark.createDataFrame([], S.SEND_LOG)
-        raise
+    return read_send_log(spark, log_path).select(*[f.name for f in S.SEND_LOG.fields])
 
 
-def _write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
+def write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
     (df.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
 
@@ -41,32 +36,13 @@ def stream_alerts(spark: SparkSession, src: str, schema, log_path: str, out: str
         to_send = to_send.persist()
         try:
             outbox = A.alert_outbox(to_send, baseline, directory, p)
-            _write_epoch(to_send, f"{out}/alerts", epoch_id)
-            _write_epoch(outbox, f"{out}/outbox", epoch_id)
-            _write_epoch(A.outbox_to_log(outbox), log_path, epoch_id)
+            write_epoch(to_send, f"{out}/alerts", epoch_id)
+            write_epoch(outbox, f"{out}/outbox", epoch_id)
+            write_epoch(A.outbox_to_log(outbox), log_path, epoch_id)
         finally:
             to_send.unpersist()
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
     return (stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
-
-def run_from_alerts(inputs, p: Params) -> DataFrame:
-    """The fixture alerts arrive in two files (one per workspace) with a
-    restart in between; the send log starts as the fixture log.  Returns the
-    alerts that were sent -- equal to the batch ``alerts_to_send``."""
-    spark = inputs.spark
-    src, out, ckpt = stream_dirs(spark, "stream-alerts")
-    log_path = f"{out}/send_log"
-    _write_epoch(inputs.send_log(p), log_path, -1)
-    alerts = inputs.alerts(p)
-    schema = alerts.schema
-    baseline = inputs.baseline()
-    for ws in (1, 2):
-        alerts.where(F.col("workspace_id") == ws).write.mode("append").parquet(src)
-        run_available_now(stream_alerts(spark, src, schema, log_path, out, baseline, inputs.directory, p, ckpt))
-    try:
-        return spark.read.parquet(f"{out}/alerts").drop("epoch")
-    except Exception:
-        return spark.createDataFrame([], schema)

@@ -1,14 +1,18 @@
 """Column helpers: glob compiler, formatting, photon/worker/driver rules."""
 
+import datetime as dt
 import fnmatch
 import re
+import time
+from decimal import Decimal
 
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from spendwatch.functions.columns import driver_type, fmt_grouped, fmt_plain, is_photon, worker_count
+from spendwatch.functions.columns import driver_type, fmt_grouped, fmt_plain, instant, is_photon, money, worker_count
 from spendwatch.functions.rules import ExclusionRules, glob_to_regex
+from spendwatch.params import Params
 
 CHARS = "ab.-#!^&\\"
 _char = st.sampled_from(CHARS)
@@ -64,3 +68,33 @@ def test_inventory_columns(spark):
     df = spark.createDataFrame(rows, schema)
     got = df.select(worker_count().alias("w"), is_photon().alias("p"), driver_type().alias("d")).collect()
     assert [(r.w, r.p, r.d) for r in got] == [(2, True, "w"), (5, True, "w"), (3, False, "d"), (0, False, None)]
+
+
+def test_long_glob_lists_keep_their_order(spark):
+    rules = ExclusionRules(name_patterns=tuple(f"team-{k}-*" for k in range(10_000)) + ("team-7-x*", "*'q\\\\*"))
+    df = spark.createDataFrame([("team-7-x",), ("team-9999-a",), ("nobody",), (None,), ("it'q\\\\s",)], "n string")
+    got = {r.n: (r.reason, r.hit) for r in df.select(
+        "n", rules.name_reason(F.col("n")).alias("reason"), rules.name_matches(F.col("n")).alias("hit")).collect()}
+    assert got["team-7-x"] == ("cluster_name matches pattern 'team-7-*'", True)
+    assert got["team-9999-a"] == ("cluster_name matches pattern 'team-9999-*'", True)
+    assert got["nobody"] == got[None] == (None, False)
+
+
+def test_instant_does_not_depend_on_the_driver_zone(spark, monkeypatch):
+    want = dt.datetime(2024, 1, 31, 12, 0)
+    zones = [dt.timezone.utc, dt.timezone(dt.timedelta(hours=-5))]
+    for name in ("UTC", "America/New_York"):
+        monkeypatch.setenv("TZ", name)
+        time.tzset()
+        micros = spark.range(1).select(F.unix_micros(instant(want)).alias("m")).first().m
+        assert micros == int(want.replace(tzinfo=dt.timezone.utc).timestamp() * 1_000_000)
+        for zone in zones:
+            aware = want.replace(tzinfo=dt.timezone.utc).astimezone(zone)
+            assert Params(as_of=aware).as_of == want
+    monkeypatch.delenv("TZ")
+    time.tzset()
+
+
+def test_money_keeps_nine_decimals(spark):
+    df = spark.sql("SELECT cast(0.123456789 AS decimal(38,18)) AS q, cast(0.000375 AS decimal(38,18)) AS p")
+    assert df.select(money(F.col("q"), F.col("p")).alias("m")).first().m == Decimal("0.123456789") * Decimal("0.000375")

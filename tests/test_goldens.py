@@ -41,10 +41,10 @@ def test_price_interval_boundaries(spark, max_rows):
 
 
 def rates_df(spark):
-    rows = [("AWS", "m.large", "All-Purpose Compute", False, "STD", 1.0, 0.5, 0.5, None),
-            ("AWS", "m.large", "All-Purpose Compute Photon", True, "PH", 2.0, 0.6, 1.2, None),
-            ("AWS", "r.large", "All-Purpose Compute", False, "STD", 3.0, 0.5, 1.5, None),   # no photon row
-            ("AWS", "r.large", "All-Purpose Compute", False, "STD", 2.5, 0.5, 1.25, None)]  # duplicate: max wins
+    rows = [(1, "AWS", "m.large", "All-Purpose Compute", False, "STD", 1.0, 0.5, 0.5, None),
+            (1, "AWS", "m.large", "All-Purpose Compute Photon", True, "PH", 2.0, 0.6, 1.2, None),
+            (1, "AWS", "r.large", "All-Purpose Compute", False, "STD", 3.0, 0.5, 1.5, None),   # no photon row
+            (1, "AWS", "r.large", "All-Purpose Compute", False, "STD", 2.5, 0.5, 1.25, None)]  # duplicate: max wins
     return spark.createDataFrame(rows, S.PRICING_RATES)
 
 

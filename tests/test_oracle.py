@@ -6,8 +6,11 @@ import __spark_entry__ as E
 from tools.oracle_check import canon, duck
 from tests.conftest import SF_SMALL
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+from spendwatch.plans.oracle import oracle_sql
+from spendwatch.plans.registry import queries
+
+QUERIES = queries()
+ORACLES = oracle_sql()
 
 
 @pytest.fixture(scope="module")

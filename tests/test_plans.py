@@ -5,7 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from spendwatch.operators import sinks, usage
+from spendwatch.operators import backtest, sinks, usage
 from spendwatch.plans.inputs import Inputs
 from spendwatch.session import scratch_path
 from spendwatch.sources import fixtures as fx
@@ -68,11 +68,31 @@ def test_alerts_latest_prunes_score_dates(spark):
     assert "WindowGroupLimit" in text
 
 
-def test_backtest_shuffles_once_per_key_set(spark):
+def scans(df, name):
+    return physical(df).toString().count(f"/{name}.parquet")
+
+
+def test_usage_is_scanned_once_and_not_shuffled_row_by_row(spark):
+    i = Inputs(spark, SF_SMALL)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        for frame in (i.priced(), i.hourly(), i.baseline(fx.USAGE_PARAMS)):
+            assert scans(frame, "events") <= 1
+        raw = i.backtest(fx.BACKTEST_PARAMS)
+        assert scans(raw, "events") == 0  # reads the hourly aggregate that was written once
+        assert scans(backtest.enrich(raw, backtest.meta_for(raw, i.history)), "events") == 0
+        plan = physical(i.priced())
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    for node in walk(plan):
+        if node.nodeName() == "Exchange":
+            assert "events.parquet" not in node.toString(), node.toString()[:500]
+
+
+def test_backtest_shuffles(spark):
+    """The window and the final grouping share one partitioning; the rolling
+    baseline has its own few."""
     i = Inputs(spark, SF_SMALL)
     text = physical(i.backtest(fx.BACKTEST_PARAMS)).toString()
-    # hourly aggregate + the (workspace, day, cluster) partitioning shared by the window and the
-    # final grouping; the rolling baseline side is small and broadcast.
+    assert text.count("Exchange hashpartitioning(workspace_id") <= 6
     assert "BroadcastHashJoin" in text
-    hashes = [l for l in text.splitlines() if "Exchange hashpartitioning(workspace_id" in l]
-    assert any("usage_date" in l and "cluster_id" in l and "hour_ts" not in l for l in hashes)

@@ -3,14 +3,17 @@
 import json
 import os
 
+import pytest
+
 from spendwatch import schemas as S
+from spendwatch.functions.rules import ExclusionRules
 from spendwatch.operators import pricing, sinks
-from spendwatch.session import local_dir, scratch_path
+from spendwatch.session import _private_dir, scratch_path
 from spendwatch.sources.readers import rate_card_scan
 
 
 def test_rate_card_json_array(spark):
-    path = local_dir(scratch_path(spark, "card-json"))
+    path = scratch_path(spark, "card-json").removeprefix("file:")
     os.makedirs(path)
     card = [
         {"instance": "r5d.xlarge (Photon)", "compute": "All-Purpose Compute Photon", "plan": "Premium", "dburate": "1.5"},
@@ -41,3 +44,30 @@ def test_overwrite_replaces_and_append_adds(spark):
     assert spark.read.parquet(path).count() == 2
     sinks.append(df, path)
     assert spark.read.parquet(path).count() == 4
+
+
+def test_a_large_date_is_split_over_writer_tasks(spark, monkeypatch):
+    rows = spark.range(200_000).selectExpr("cast(id as string) AS cluster_id", "date'2024-01-01' AS snapshot_date")
+    path = scratch_path(spark, "one-date")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        sinks.write_scores(rows, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    back = spark.read.parquet(path)
+    assert back.count() == 200_000
+    assert len(back.inputFiles()) > 4
+
+
+def test_unset_checkpoint_folder_is_an_error_on_a_cluster():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        _private_dir("spark://host:7077")
+    assert os.path.isdir(_private_dir("local[2]"))
+
+
+def test_rules_come_from_a_table(spark):
+    rules = ExclusionRules(ids=("9", "1"), name_patterns=("b*", "a*"), creators=("x@y",))
+    assert ExclusionRules.from_frame(rules.to_frame(spark)) == rules
+    bad = spark.createDataFrame([(1, "nonsense", "x")], S.EXCLUSION_RULES)
+    with pytest.raises(ValueError, match="nonsense"):
+        ExclusionRules.from_frame(bad)
