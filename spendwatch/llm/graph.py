@@ -23,9 +23,11 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         sides = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v"))
     least = sides.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    # A node with very many neighbours is dealt over SALTS tasks.
+    # A node with very many neighbours is dealt over SALTS tasks; the spread
+    # side grows with the nodes, so it is never broadcast.
     spread = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    moved = sides.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(spread, ["u", "salt"])
+    moved = sides.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)).cast("int")).join(
+        spread.hint("merge"), ["u", "salt"])
     if large:
         moved = moved.where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
     else:
