@@ -172,3 +172,16 @@ def test_price_join_fallback_equals_broadcast_on_fixture(spark):
     assert rows(i.priced(fx.USAGE_PARAMS)) == rows(i.priced(small))
     b_small = fx.BACKTEST_PARAMS.replace(broadcast_max_rows=0)
     assert rows(i.hourly(fx.BACKTEST_PARAMS)) == rows(i.hourly(b_small))
+
+
+def test_scoring_alerts_and_backtest_without_broadcasts(spark):
+    near = lambda df: [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in rows(df)]
+    i = Inputs(spark, SF_SMALL)
+    rates, base = i.rates_table(), i.baseline_table()
+    off = {"broadcast_max_rows": 0}
+    both = [near(scoring.score_inventory(i.inventory, rates, base, i.rules, p)) for p in (
+        fx.SCORING_PARAMS, fx.SCORING_PARAMS.replace(**off))]
+    assert both[0] == both[1]
+    routed = [near(alerts.route(i.alerts(p), i.directory, p)) for p in (fx.ALERT_PARAMS, fx.ALERT_PARAMS.replace(**off))]
+    assert routed[0] == routed[1]
+    assert near(i.backtest(fx.BACKTEST_PARAMS)) == near(i.backtest(fx.BACKTEST_PARAMS.replace(**off)))
