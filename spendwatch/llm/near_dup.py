@@ -11,7 +11,14 @@ and a spanning set of the verified links goes into the final components.
 
 A large cluster is cut into blocks of a bounded number of documents and
 shingles; every pair of blocks is its own task group, so no cluster has to fit
-into one task.  Each document's text is shipped once per block pair.
+into one task.  Each document's text is shipped once per block pair.  Where that
+would ship a text more than ``PASSES`` times, the cluster is contracted first:
+its documents are compared inside the buckets of ``PASSES`` bands (a large
+bucket dealt over blocks, anew in every band), which links the copies of a hot
+group at a cost in proportion to its size.  Two documents of one component need
+no further comparison, so only buckets that hold several components stay
+candidates, and the blocks of a cluster's largest component are paired with the
+other documents only.
 
 Defined cases: a null or wordless text has an empty set, is linked with nothing
 and is kept; repeated rows of one document fall into one component; a null
@@ -38,6 +45,7 @@ BATCH = 24
 MISS = 1e-6
 BLOCK_DOCS, BLOCK_SHINGLES = 768, 1_000_000
 PART_DOCS = 256
+PASSES = 4
 
 
 def _binomial_tail(m: int, n: int, p: float) -> float:
@@ -96,11 +104,13 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.astype(np.int64)
 
 
-def _pairs(sig_a, key_a, sig_b, key_b, same: bool, table: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Banded pairs that no batch of signature values has ruled out."""
+def _pairs(sig_a, key_a, label_a, sig_b, key_b, label_b, same: bool,
+           table: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Banded pairs of different labels that no batch of signature values has ruled out."""
     banded = np.zeros((len(sig_a), len(sig_b)), dtype=bool)
     for b in range(key_a.shape[1]):
         banded |= key_a[:, b][:, None] == key_b[:, b][None, :]
+    banded &= label_a[:, None] != label_b[None, :]
     if same:
         banded = np.triu(banded, 1)
     i, j = np.nonzero(banded)
@@ -159,9 +169,56 @@ def _forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _blocks(count, shingles):
+    return F.greatest(F.ceil(count / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _clustered(reps: DataFrame, banded: DataFrame, name: str) -> DataFrame:
+    """rep, label, n, cluster of every representative that shares a band (rep, label, key) with another label."""
+    buckets = banded.groupBy("key").agg(F.min("rep").alias("least"), F.min("label").alias("low"),
+                                        F.max("label").alias("high")).where("low <> high")
+    stars = banded.join(buckets, "key").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    clusters = components(stars, f"neardup-{name}")
+    return stage(reps.select("rep", "label", "n").join(
+        clusters.select(F.col("id").alias("rep"), F.col("component").alias("cluster")), "rep"), f"neardup-{name}")
+
+
+def _block_pairs(clustered: DataFrame) -> DataFrame:
+    """doc_id, label, cluster, blocks, block, others (the blocks that the document's block is compared with).
+
+    The blocks of a cluster's largest label come first and are not compared
+    with each other.
+    """
+    labels = clustered.groupBy("cluster", "label").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+    sized = labels.groupBy("cluster").agg(
+        F.sum("c").alias("docs"), F.sum("s").alias("shingles"), F.max(F.struct("c", "label", "s")).alias("top"))
+    sized = sized.withColumn("first", F.when(_blocks(F.col("top.c"), F.col("top.s")) > 1, _blocks(F.col("top.c"), F.col("top.s"))).otherwise(0))
+    rest = _blocks(F.col("docs") - F.col("top.c"), F.col("shingles") - F.col("top.s"))
+    sized = sized.withColumn("blocks", F.when(F.col("first") > 0, F.col("first") + F.greatest(rest, F.lit(1)))
+                             .otherwise(_blocks(F.col("docs"), F.col("shingles"))))
+    top = (F.col("first") > 0) & (F.col("label") == F.col("top.label"))
+    spread = F.xxhash64("rep")
+    block = F.when(top, F.pmod(spread, F.greatest("first", F.lit(1)))).otherwise(
+        F.col("first") + F.pmod(spread, F.col("blocks") - F.col("first"))).cast("int")
+    return clustered.join(sized, "cluster").select(
+        F.col("rep").alias("doc_id"), "label", "cluster", "blocks", block.alias("block"),
+        F.sequence(F.when(top, F.col("first")).otherwise(0), F.col("blocks") - 1).alias("others"))
+
+
+def _bucket_blocks(reps: DataFrame, bands: int) -> DataFrame:
+    """The same columns for the buckets of PASSES bands; a block is compared with itself only."""
+    step = max(1, bands // PASSES)
+    chosen = F.posexplode(F.filter("keys", lambda _, i: (i % step == 0) & (i < step * PASSES)))
+    rows = reps.select("rep", "label", "n", chosen.alias("pass", "key"))
+    sizes = rows.groupBy("key").agg(F.count("*").alias("c"), _blocks(F.count("*"), F.sum("n")).alias("blocks")).where("c > 1")
+    block = F.pmod(F.xxhash64("rep", "pass"), F.col("blocks")).cast("int")
+    return rows.join(sizes, "key").select(F.col("rep").alias("doc_id"), "label", F.col("key").alias("cluster"), "blocks",
+                                          block.alias("block"), F.array(block).alias("others"))
+
+
 def verified_links(members: DataFrame, docs: DataFrame, percent: int, bands: int, rows: int, batch: int,
                    miss: float) -> DataFrame:
-    """Spanning links (a, b) of each cluster; members: doc_id, cluster, blocks (how many the cluster has)."""
+    """Spanning links (a, b) between different labels, by the blocks that ``members`` names."""
     size = bands * rows
     table = least_matches(percent / 100, size, batch, miss)
 
@@ -170,6 +227,7 @@ def verified_links(members: DataFrame, docs: DataFrame, percent: int, bands: int
             order = np.argsort(np.array(group["doc_id"].to_pylist(), dtype=np.int64), kind="stable")
             ids = group["doc_id"].to_numpy()[order]
             side = group["side"].to_numpy()[order]
+            label = group["label"].to_numpy()[order]
             texts = group["text"].combine_chunks().take(pa.array(order))
             data, offsets = sh.text_bytes(texts)
             parts: list[np.ndarray] = []
@@ -180,26 +238,23 @@ def verified_links(members: DataFrame, docs: DataFrame, percent: int, bands: int
             a = np.flatnonzero(side != 1)
             b = np.flatnonzero(side != 0)
             same = bool((side == 2).all())
-            i, j = _pairs(sig[a], keys[a], sig[b], keys[b], same, table)
+            i, j = _pairs(sig[a], keys[a], label[a], sig[b], keys[b], label[b], same, table)
             sa, sb = [parts[x] for x in a], [parts[x] for x in b]
             ok = _links(sa, sb, i, j, percent) if i.size else np.zeros(0, bool)
             found = _forest([(int(ids[a[x]]), int(ids[b[y]])) for x, y in zip(i[ok], j[ok])])
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()),
                                               pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
 
-    block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     # Small clusters share a part: documents of different clusters have no band in common.
     shared = max(1, members.where("blocks = 1").count() // PART_DOCS)
     # One row per pair of blocks that the document's block is in; side 2: a
     # block with itself, else 0 for the lower and 1 for the higher block.
-    placed = members.withColumn("block", block).select(
-        "doc_id", "cluster", "blocks", "block", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("other"))
-    placed = placed.select(
-        "doc_id",
+    placed = members.withColumn("other", F.explode("others")).select(
+        "doc_id", "label",
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(shared)))
         .otherwise(F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other"))).alias("part"),
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"))
-    return (trimmed(docs, "doc_id", "text").join(placed, "doc_id").select("part", "side", "doc_id", "text")
+    return (trimmed(docs, "doc_id", "text").join(placed, "doc_id").select("part", "side", "doc_id", "label", "text")
             .repartition("part").sortWithinPartitions("part").mapInArrow(run, "a long, b long"))
 
 
@@ -210,14 +265,19 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, bands: in
     reps = described.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     reps = stage(reps, "neardup-reps")
-    banded = reps.select("rep", F.explode("keys").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("rep").alias("least"), F.count("*").alias("n")).where("n > 1")
-    stars = banded.join(buckets, "key").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    clusters = stage(components(stars, "neardup-cluster"), "neardup-clusters")
-    sized = clusters.join(reps.select(F.col("rep").alias("id"), "n"), "id").groupBy("component").agg(
-        F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    members = clusters.join(sized, "component").select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"), "blocks")
-    links = verified_links(members, docs, percent, bands, rows, batch, miss)
+    how = (docs, percent, bands, rows, batch, miss)
+    alone = reps.withColumn("label", F.col("rep"))
+    clustered = _clustered(alone, alone.select("rep", "label", F.explode("keys").alias("key")), "clusters")
+    members = _block_pairs(clustered)
+    links = verified_links(members.where(F.col("blocks") <= PASSES), *how)
+    large = stage(members.where(F.col("blocks") > PASSES).select(F.col("doc_id").alias("rep")), "neardup-large")
+    if not large.isEmpty():
+        inside = alone.join(large, "rep", "left_semi")
+        near = components(verified_links(_bucket_blocks(inside, bands), *how), "neardup-near")
+        inside = stage(inside.drop("label").join(near.select(F.col("id").alias("rep"), F.col("component").alias("label")), "rep", "left")
+                       .withColumn("label", F.coalesce("label", "rep")), "neardup-contracted")
+        mixed = _clustered(inside, inside.select("rep", "label", F.explode("keys").alias("key")), "mixed")
+        links = links.unionAll(near.select("id", "component")).unionAll(verified_links(_block_pairs(mixed), *how))
     found = components(links, "neardup-links")
     classes = reps.select("digest", "rep").join(
         found.select(F.col("id").alias("rep"), "component"), "rep", "left").select(

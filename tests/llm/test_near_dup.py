@@ -64,7 +64,7 @@ def test_sets_equal_plain_shingling():
             assert np.intersect1d(got[i], got[j]).size == len(plain[i] & plain[j])
 
 
-@pytest.mark.parametrize("block,part", [(near_dup.BLOCK_DOCS, near_dup.PART_DOCS), (20, 3)])
+@pytest.mark.parametrize("block,part", [(near_dup.BLOCK_DOCS, near_dup.PART_DOCS), (40, 3), (7, 3)])
 def test_components_equal_brute_force(spark, monkeypatch, block, part):
     monkeypatch.setattr(near_dup, "BLOCK_DOCS", block)
     monkeypatch.setattr(near_dup, "PART_DOCS", part)
@@ -73,6 +73,25 @@ def test_components_equal_brute_force(spark, monkeypatch, block, part):
     assert {tuple(r) for r in near_dup.near_duplicates(docs).collect()} == brute(rows)
 
 
+def test_a_hot_group_of_linked_copies_is_not_paired_block_by_block(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK_DOCS", 8)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(200):
+        w = list(base)
+        w[rng.randrange(400)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    rows.append((200, " ".join(base[:300] + [f"y{i}" for i in range(100)])))  # shares bands, but is not linked
+    seen = []
+    real = near_dup.verified_links
+    monkeypatch.setattr(near_dup, "verified_links", lambda members, *rest: (
+        seen.append(members.selectExpr("coalesce(sum(size(others)), 0)").first()[0]), real(members, *rest))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {tuple(r) for r in near_dup.near_duplicates(docs).collect()} == brute(rows)
+    assert len(seen) == 3 and sum(seen) < 201 * (near_dup.PASSES + 2)  # all pairs of blocks: 201 * 26
+
+
 def test_repeated_rows_null_ids_and_empty_table(spark):
     text = "some words that are said again and again here"
     docs = spark.createDataFrame([(5, text), (5, text), (2, text + " more"), (None, text), (7, None)], "doc_id long, text string")
