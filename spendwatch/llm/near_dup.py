@@ -216,7 +216,7 @@ def _bucket_blocks(reps: DataFrame, bands: int) -> DataFrame:
                                           block.alias("block"), F.array(block).alias("others"))
 
 
-def verified_links(members: DataFrame, docs: DataFrame, percent: int, bands: int, rows: int, batch: int,
+def verified_links(members: DataFrame, texts: DataFrame, percent: int, bands: int, rows: int, batch: int,
                    miss: float) -> DataFrame:
     """Spanning links (a, b) between different labels, by the blocks that ``members`` names."""
     size = bands * rows
@@ -228,8 +228,7 @@ def verified_links(members: DataFrame, docs: DataFrame, percent: int, bands: int
             ids = group["doc_id"].to_numpy()[order]
             side = group["side"].to_numpy()[order]
             label = group["label"].to_numpy()[order]
-            texts = group["text"].combine_chunks().take(pa.array(order))
-            data, offsets = sh.text_bytes(texts)
+            data, offsets = sh.text_bytes(group["text"].combine_chunks().take(pa.array(order)))
             parts: list[np.ndarray] = []
             for i, j in sh.sub_batches(offsets):
                 parts += sh.sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
@@ -254,7 +253,8 @@ def verified_links(members: DataFrame, docs: DataFrame, percent: int, bands: int
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(shared)))
         .otherwise(F.xxhash64("cluster", F.least("block", "other"), F.greatest("block", "other"))).alias("part"),
         F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"))
-    return (trimmed(docs, "doc_id", "text").join(placed, "doc_id").select("part", "side", "doc_id", "label", "text")
+    # The placed rows grow with the input: never broadcast.
+    return (texts.join(placed.hint("merge"), "doc_id").select("part", "side", "doc_id", "label", "text")
             .repartition("part").sortWithinPartitions("part").mapInArrow(run, "a long, b long"))
 
 
@@ -265,9 +265,12 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, bands: in
     reps = described.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     reps = stage(reps, "neardup-reps")
-    how = (docs, percent, bands, rows, batch, miss)
     alone = reps.withColumn("label", F.col("rep"))
     clustered = _clustered(alone, alone.select("rep", "label", F.explode("keys").alias("key")), "clusters")
+    # Only the texts of candidates are joined again, and shipped, below.
+    texts = stage(trimmed(docs, "doc_id", "text").join(
+        clustered.select(F.col("rep").alias("doc_id")).hint("merge"), "doc_id", "left_semi"), "neardup-texts")
+    how = (texts, percent, bands, rows, batch, miss)
     members = _block_pairs(clustered)
     links = verified_links(members.where(F.col("blocks") <= PASSES), *how)
     large = stage(members.where(F.col("blocks") > PASSES).select(F.col("doc_id").alias("rep")), "neardup-large")
