@@ -116,8 +116,9 @@ def cutoffs(measured: DataFrame, labels: DataFrame, risk: float = RISK, error: f
     down = whole.orderBy(F.desc("level")).rowsBetween(W.unboundedPreceding, 0)
     cells = cells.select("lang", "rule", "level", F.sum("good").over(whole).alias("n"),
                          F.sum("good").over(down).alias("k"), F.sum("bad").over(down).alias("caught"))
-    strata = cells.select(F.countDistinct("lang").alias("strata"))
-    tested = cells.join(F.broadcast(strata)).where(
+    # Every judged document has a cell for every rule, so each rule sees all strata.
+    strata = cells.groupBy("rule").agg(F.countDistinct("lang").alias("strata"))
+    tested = cells.join(strata, "rule").where(
         f"level > 0 and caught > 0 and caught >= {LEAST_YIELD} * k and k < {risk} * n").withColumn(
         "p", _tail(F.col("k"), F.col("n"), risk)).where(F.col("p") * F.col("strata") * (len(RULES) * LEVELS) <= error)
     best = W.partitionBy("lang", "rule").orderBy(F.desc("caught"), F.asc("k"), F.desc("level"))
