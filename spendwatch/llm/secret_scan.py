@@ -15,7 +15,7 @@ Everything happens inside the row: no shuffle, and a document's result depends
 on nothing else.  Positions are code points, end exclusive.
 
 Defined cases: a null text is empty; documents without spans have an empty
-list; repeated rows give repeated results.
+list; repeated rows give repeated results; a token may be as long as the text.
 """
 
 from __future__ import annotations
@@ -56,21 +56,27 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda acc, x: acc + x)
 
 
+def _in_blocks(xs: Column) -> Column:
+    """A non-empty array in blocks of about the root of its size."""
+    width = F.greatest(F.ceil(F.sqrt(F.size(xs))), F.lit(1)).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / width).cast("int")),
+                       lambda b: F.slice(xs, b * width + 1, width))
+
+
 def _ends(lengths: Column) -> Column:
-    """Running sums, in blocks of about the root of the size."""
-    def by_block(xs: Column) -> Column:
-        width = F.greatest(F.ceil(F.sqrt(F.size(xs))), F.lit(1)).cast("int")
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / width).cast("int")),
-                             lambda b: F.slice(xs, b * width + 1, width))
+    """Running sums."""
+    def inside(cut: Column) -> Column:
+        return _let(F.transform(cut, _total), lambda sums: F.flatten(F.transform(cut, lambda block, b: _let(
+            _total(F.slice(sums, F.lit(1), b)),
+            lambda before: F.transform(block, lambda x, i: before + _total(F.slice(block, F.lit(1), i + 1)))))))
 
-        def inside(cut: Column) -> Column:
-            return _let(F.transform(cut, _total), lambda sums: F.flatten(F.transform(cut, lambda block, b: _let(
-                _total(F.slice(sums, F.lit(1), b)),
-                lambda before: F.transform(block, lambda x, i: before + _total(F.slice(block, F.lit(1), i + 1)))))))
+    return F.when(F.size(lengths) == 0, F.array().cast("array<int>")).otherwise(
+        _let(lengths, lambda xs: _let(_in_blocks(xs), inside)))
 
-        return _let(blocks, inside)
 
-    return F.when(F.size(lengths) == 0, F.array().cast("array<int>")).otherwise(_let(lengths, by_block))
+def _reach(spans: Column) -> Column:
+    """The largest end; 0 without spans."""
+    return F.coalesce(F.array_max(F.transform(spans, lambda x: x["end"])), F.lit(0))
 
 
 def _placed(text: Column, pattern: str, group: int = 0) -> Column:
@@ -123,7 +129,8 @@ def random_p(token: Column, encoding: str) -> Column:
     k = len(alphabet)
     plain = F.lower(token) if encoding == "hex" else F.translate(token, "-_", "+/")
 
-    def tests(chars: Column, n: Column, body: Column) -> Column:
+    def tests(chars: Column, size: Column, body: Column) -> Column:
+        n = size.cast("double")  # its cube is beyond an int from 1,291 characters on
         squares = F.aggregate(F.transform(F.array_distinct(chars), lambda c: F.pow(
             n - F.length(F.replace(body, c, F.lit(""))), 2)), F.lit(0.0), lambda acc, x: acc + x)
         shift = n * excess
@@ -135,7 +142,7 @@ def random_p(token: Column, encoding: str) -> Column:
 
             def rest(mean: Column, high: Column) -> Column:
                 def lagged(f) -> Column:
-                    return F.aggregate(F.sequence(F.lit(1), n - 1), F.lit(0.0),
+                    return F.aggregate(F.sequence(F.lit(1), size - 1), F.lit(0.0),
                                        lambda acc, i: acc + f(F.get(x, i), F.get(x, i - 1)))
                 variance = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + (v - mean) * (v - mean))
                 correlation = F.when(variance > 0, lagged(lambda a, b: (a - mean) * (b - mean)) / variance).otherwise(1.0)
@@ -152,8 +159,7 @@ def random_p(token: Column, encoding: str) -> Column:
         return _let(index, by_index)
 
     def split(body: Column) -> Column:
-        n = F.length(body)
-        return _let(F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(body, i, F.lit(1))), lambda cs: tests(cs, n, body))
+        return _let(F.split(body, ""), lambda cs: tests(cs, F.size(cs), body))
 
     return _let(plain, split)
 
@@ -178,7 +184,14 @@ def _battery(text: Column, base: Column) -> Column:
             t["start"], F.lit(len(KINDS)).alias("rank"), t["end"], F.lit(RANDOM).alias("kind"))))
 
     def apart(spans: Column) -> Column:
-        return F.filter(spans, lambda t: ~F.exists(base, lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
+        def meets(x: Column, t: Column) -> Column:
+            return (x["start"] < t["end"]) & (x["end"] > t["start"])
+
+        # A block of base spans is only looked into where it meets the token as a whole.
+        blocks = F.transform(_in_blocks(base), lambda b: F.struct(
+            F.get(b, F.lit(0))["start"].alias("start"), _reach(b).alias("end"), b.alias("spans")))
+        return F.when(F.size(base) == 0, spans).otherwise(_let(blocks, lambda bs: F.filter(
+            spans, lambda t: ~F.exists(bs, lambda b: meets(b, t) & F.exists(b["spans"], lambda x: meets(x, t))))))
 
     found = _let(tokens, lambda ts: F.when(F.size(ts) == 0, F.array().cast(SPAN)).otherwise(
         _let(_let(scored(ts), controlled), apart).cast(SPAN)))
@@ -211,15 +224,23 @@ def report(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every span's text replaced by ``mark``; overlapping spans share one mark."""
     found = scan(docs.select("doc_id", "text", F.struct(*docs.columns).alias("whole")), "whole")
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-    def step(acc: Column, x: Column) -> Column:
-        gap = F.substr(F.col("text"), acc["at"] + 1, x["start"] - acc["at"])
-        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(
-            x["start"] < acc["at"], acc["parts"]).otherwise(F.array_append(F.array_append(acc["parts"], gap), F.lit(mark))).alias("parts"))
+    def block_text(block: Column, before: Column, after: Column) -> Column:
+        """The text between two positions that block's spans begin and end in, marked."""
+        def part(cut: Column, x: Column, i: Column) -> Column:
+            return _let(F.greatest(before, _reach(F.slice(block, F.lit(1), i))), lambda at: F.when(x["start"] < at, F.lit("")).otherwise(
+                F.concat(F.substr(cut, at - before + 1, x["start"] - at), F.lit(mark))))
+
+        return _let(F.substr(F.col("text"), before + 1, after - before),
+                    lambda cut: F.array_join(F.transform(block, lambda x, i: part(cut, x, i)), ""))
+
+    def marked(blocks: Column) -> Column:
+        return _let(F.transform(blocks, _reach), lambda ends: F.concat(
+            F.array_join(F.transform(blocks, lambda block, b: _let(
+                F.coalesce(F.array_max(F.slice(ends, F.lit(1), b)), F.lit(0)),
+                lambda before: block_text(block, before, F.greatest(before, F.get(ends, b))))), ""),
+            F.substr(F.col("text"), F.array_max(ends) + 1, F.length("text"))))
 
-    spans = F.array_sort(F.concat("base", "added"))
-    merged = _let(F.aggregate(spans, start, step), lambda acc: F.concat(
-        F.array_join(acc["parts"], ""), F.substr(F.col("text"), acc["at"] + 1, F.length("text"))))
+    merged = _let(F.array_sort(F.concat("base", "added")), lambda spans: _let(_in_blocks(spans), marked))
     text = F.when(F.size("base") + F.size("added") == 0, F.col("text")).otherwise(merged)
     return found.select(*[text.alias(c) if c == "text" else F.col("whole")[c].alias(c) for c in docs.columns])

@@ -64,3 +64,32 @@ def test_empty_table_and_extra_columns(spark):
     docs = spark.createDataFrame([(1, "password=abcdefgh", "s", 1)], "doc_id long, text string, spans string, base int")
     assert secret_scan.report(docs).first().spans == "assign:0:17"
     assert secret_scan.redact(docs).first().base == 1
+
+
+def test_very_long_tokens_and_very_many_spans(spark):
+    rng = random.Random(11)
+    alphabet = string.ascii_letters + string.digits + "+/"
+    long = ["".join(rng.choices(alphabet, k=n)) for n in (1_300, 50_000)] + ["A1" * 30_000]
+    lines = "\n".join(f"{rng.getrandbits(128):032x}  {''.join(rng.choices(alphabet, k=40))}" for _ in range(3_000))
+    rows = secret_scan.report(frame(spark, [f"x {t} y" for t in long] + [lines])).orderBy("doc_id").collect()
+    assert [r.spans for r in rows[:3]] == ["random:2:1302", "random:2:50002", ""]
+    assert rows[3].n_hex == 3_000
+    # Every line has 32 hex digits and, two spaces on, a token of 40; a hex span is never found twice.
+    places = {f"{a}:{a + 40}" for a in range(34, len(lines), 75)}
+    found = [s.removeprefix("random:") for s in rows[3].spans.split(",") if s.startswith("random:")]
+    assert found and len(found) == rows[3].n_random and set(found) <= places
+
+
+def test_redaction_equals_cutting_the_reported_spans(spark):
+    rng = random.Random(12)
+    words = ["password=", "token: ", "0123456789abcdef" * 2, "AKIA" + "Z9" * 8, "secret:AKIA" + "Q7" * 9, " ", "é", "𝄞", "\n", "ab", "".join(
+        rng.choices(string.ascii_letters + string.digits, k=44))]
+    texts = ["".join(rng.choice(words) for _ in range(rng.randrange(120))) for _ in range(120)] + ["", None]
+    docs = frame(spark, texts)
+    spans = {r.doc_id: [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s] for r in secret_scan.report(docs).collect()}
+    for r in secret_scan.redact(docs).collect():
+        text, at, expected = texts[r.doc_id] or "", 0, ""
+        for a, b in spans[r.doc_id]:
+            expected += text[at:a] + "[SECRET]" if a >= at else ""
+            at = max(at, b)
+        assert r.text == expected + text[at:]
