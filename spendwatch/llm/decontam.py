@@ -6,11 +6,14 @@ broadcast).  The containment of an item is the same in this projection as in
 the whole document.  Projections are partitioned by size (powers of two); the
 upper size of a partition turns the containment threshold into a Jaccard
 threshold for each item, and that chooses how many signature values form a
-band.  Where the projection is so much larger than the item that not even
-single values reach the wanted miss probability (a short item inside a document
-with much other test material), the item's own minimum shingles are looked up
-among the document's shingles instead: each is present with a probability of
-at least the containment.  Candidates are verified by exact containment.
+band.  Where the projection is so much larger
+than the item that not even single values reach the wanted miss probability (a
+short item inside a document with much other test material), the item's own
+minimum shingles are looked up among the document's shingles instead: each is
+present with a probability of at least the containment.  Only documents of
+those sizes are looked up so, and no key is made for a size that cannot hold
+the item; a shingle that very many items and documents share therefore does
+not by itself make candidates of all their pairs.  Candidates are verified by exact containment.
 
 Defined cases: null, empty and wordless texts contain and match nothing; a text
 of fewer words than a shingle is one shingle of its own; of repeated rows of
@@ -62,7 +65,7 @@ def _band_key(size_class: int, rows: int, values: np.ndarray) -> np.ndarray:
 
 
 def describe_items(items: DataFrame, percent: int, miss: float) -> DataFrame:
-    """item_id, its shingles, and the keys under which documents are to be found."""
+    """item_id, its shingles, and the keys under which documents are to be found, of a least size class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         xor, mul = sh.signature_seeds(SIGNATURE)
         for batch in batches:
@@ -71,21 +74,25 @@ def describe_items(items: DataFrame, percent: int, miss: float) -> DataFrame:
             sig = sh.signatures(parts, SIGNATURE)
             keys = []
             for p, s in zip(parts, sig):
-                own: list[int] = []
+                own: list[dict] = []
                 if p.size:
-                    classes = [band_rows(p.size, (2 << c) - 1, percent, miss) for c in range(MAX_CLASS)]
-                    for c, rows in enumerate(classes):
-                        if rows:
-                            own += _band_key(c, rows, s).tolist()
+                    least = max(1, math.ceil(p.size * percent / 100)).bit_length() - 1
+                    rows = {c: band_rows(p.size, (2 << c) - 1, percent, miss) for c in range(least, MAX_CLASS)}
+                    for c in rows:
+                        own += [{"key": k, "least": c} for k in (_band_key(c, rows[c], s).tolist() if rows[c] else [])]
+                    # A larger class never has longer bands, so the classes without any are the last ones.
+                    beyond = min((c for c in rows if not rows[c]), default=MAX_CLASS)
                     minima = np.unique([p[np.argmin((p ^ x) * m >> np.uint64(32))] for x, m in zip(xor, mul)])
-                    own += minima.astype(np.uint64).view(np.int64).tolist()
+                    own += [{"key": k, "least": beyond} for k in minima.astype(np.uint64).view(np.int64).tolist()]
                 keys.append(own)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).cast(pa.int64()),
                 pa.array([p.view(np.int64).tolist() for p in parts], pa.list_(pa.int64())),
-                pa.array(keys, pa.list_(pa.int64()))], names=["item_id", "item_shingles", "keys"])
+                pa.array(keys, pa.list_(pa.struct([("key", pa.int64()), ("least", pa.int32())])))],
+                names=["item_id", "item_shingles", "keys"])
 
-    return trimmed(items, "item_id", "text").mapInArrow(run, "item_id long, item_shingles array<long>, keys array<long>")
+    return trimmed(items, "item_id", "text").mapInArrow(
+        run, "item_id long, item_shingles array<long>, keys array<struct<key:long,least:int>>")
 
 
 def bitmap_of(items: DataFrame) -> np.ndarray:
@@ -106,7 +113,7 @@ def bitmap_of(items: DataFrame) -> np.ndarray:
 
 
 def project(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """doc_id, its shingles that are in the bitmap, and its keys; only documents that have such shingles."""
+    """doc_id, its shingles that are in the bitmap, their size class, and its keys; only documents that have such shingles."""
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +121,7 @@ def project(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
         for batch in batches:
             data, offsets = sh.text_bytes(batch.column(1))
             ids = batch.column(0).to_pylist()
-            rows: list[tuple[int, list[int], list[int]]] = []
+            rows: list[tuple[int, list[int], int, list[int]]] = []
             for i, j in sh.sub_batches(offsets):
                 h, first = sh.shingles(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
                 found = np.ones(h.size, dtype=bool)
@@ -127,23 +134,28 @@ def project(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
                     s = sh.signatures([hits], SIGNATURE)[0]
                     size_class = int(hits.size).bit_length() - 1
                     keys = np.concatenate([_band_key(size_class, r, s) for r in BAND_ROWS] + [hits.view(np.int64)])
-                    rows.append((ids[i + d], hits.view(np.int64).tolist(), keys.tolist()))
+                    rows.append((ids[i + d], hits.view(np.int64).tolist(), size_class, keys.tolist()))
             yield pa.RecordBatch.from_arrays([
                 pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-                pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["doc_id", "hits", "keys"])
+                pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.list_(pa.int64()))],
+                names=["doc_id", "hits", "size_class", "keys"])
 
-    return trimmed(docs, "doc_id", "text").mapInArrow(run, "doc_id long, hits array<long>, keys array<long>")
+    return trimmed(docs, "doc_id", "text").mapInArrow(run, "doc_id long, hits array<long>, size_class int, keys array<long>")
+
+
+def candidates(found: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, item_id of projections and items with a key in common that is made for the projection's size."""
+    doc_keys = found.select("doc_id", "size_class", F.explode("keys").alias("key"))
+    item_keys = items.select("item_id", F.explode("keys").alias("k")).select("item_id", "k.key", "k.least")
+    return doc_keys.join(item_keys, "key").where("size_class >= least").select("doc_id", "item_id").distinct()
 
 
 def contained_items(docs: DataFrame, items: DataFrame, percent: int = THRESHOLD_PERCENT, miss: float = MISS) -> DataFrame:
     """doc_id, item_id, n_item_shingles, n_shared, containment of each item that a document contains."""
     items = stage(describe_items(items, percent, miss), "decontam-items")
     found = stage(project(docs, bitmap_of(items)), "decontam-docs")
-    doc_keys = found.select("doc_id", F.explode("keys").alias("key"))
-    item_keys = items.select("item_id", F.explode("keys").alias("key"))
-    candidates = doc_keys.join(item_keys, "key").select("doc_id", "item_id").distinct()
     shared = F.size(F.array_intersect("hits", "item_shingles")).cast("long")
-    return (candidates.join(found.select("doc_id", "hits"), "doc_id")
+    return (candidates(found, items).join(found.select("doc_id", "hits"), "doc_id")
             .join(items.select("item_id", "item_shingles"), "item_id")
             .select("doc_id", "item_id", F.size("item_shingles").cast("long").alias("n_item_shingles"), shared.alias("n_shared"))
             .where(F.col("n_shared") * 100 >= F.col("n_item_shingles") * percent)

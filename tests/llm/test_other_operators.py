@@ -157,6 +157,20 @@ def test_containment_equals_brute_force(spark):
     assert decontam.contained_items(d, q.limit(0)).count() == 0
 
 
+def test_a_phrase_that_all_items_share_makes_no_candidates(spark):
+    phrase = "which of the following is true"
+    items = spark.createDataFrame([(k, phrase + "".join(f" i{k}x{j}" for j in range(40))) for k in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(k, f"{phrase} or not d{k}") for k in range(60)] + [(99, phrase + "".join(f" i7x{j}" for j in range(40)))],
+                                 "doc_id long, text string")
+    described = decontam.describe_items(items, 80, 1e-6).cache()
+    found = decontam.project(docs, decontam.bitmap_of(described))
+    assert found.count() == 61
+    pairs = decontam.candidates(found, described).collect()
+    assert (99, 7) in [tuple(r) for r in pairs]
+    assert {r.doc_id for r in pairs} == {99}
+    assert [tuple(r)[:2] for r in decontam.contained_items(docs, items).collect()] == [(99, 7)]
+
+
 @pytest.mark.parametrize("size,largest", [(1, 1), (40, 63), (40, 255), (3, 1 << 20)])
 def test_band_rows_reach_the_miss_probability(size, largest):
     rows = decontam.band_rows(size, largest, 80, 1e-6)
