@@ -80,19 +80,20 @@ class Inputs:
 
     # tables written by the daily refresh and read by the monitor -----------------
     def _refresh(self, p: Params) -> None:
-        """The daily refresh: one persisted pass of priced usage feeds both
-        ``pricing_rates`` and ``workspace_baseline``."""
+        """The daily refresh: one pass over priced usage, summed and written,
+        feeds both ``pricing_rates`` and ``workspace_baseline``."""
         cache = self.__dict__.setdefault("_tables", {})
         if ("rates", p) in cache:
             return
-        from spendwatch.plans.jobs import persisted
-        with persisted(self.priced(p)) as priced:
-            rates = pricing.pricing_rates(self.card, pricing.customer_rates(priced), self.aliases, p)
-            base = baseline.workspace_baseline(priced, p, checkpoint=False)  # priced is persisted
-            for key, frame in (("rates", rates), ("baseline", base)):
-                path = scratch_path(self.spark, f"refresh-{key}")
-                sinks.overwrite(frame, path)
-                cache[(key, p)] = self.spark.read.parquet(path)
+        daily = self._written("priced-daily", usage.priced_daily(self.priced(p)))
+        rates = pricing.pricing_rates(self.card, pricing.customer_rates(daily), self.aliases, p)
+        cache[("rates", p)] = self._written("refresh-rates", rates)
+        cache[("baseline", p)] = self._written("refresh-baseline", baseline.workspace_baseline(daily, p))
+
+    def _written(self, name: str, frame: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        sinks.overwrite(frame, path)
+        return self.spark.read.parquet(path)
 
     def rates_table(self, p: Params = fx.SCORING_PARAMS) -> DataFrame:
         self._refresh(p)

@@ -3,7 +3,7 @@
 Jobs meet only through tables (parquet under ``Tables.base``):
 
 * ``baseline_refresh`` (daily): ``pricing_rates`` and ``workspace_baseline``
-  from one persisted pass over priced usage;
+  from ``priced_daily``, the sums of one pass over priced usage;
 * ``monitor`` (every 15 minutes): scores an inventory snapshot and appends
   it to ``cluster_scores`` (partitioned by ``snapshot_date``);
 * ``route_alerts`` (every 30 minutes): latest alerts minus suppressed ones
@@ -13,7 +13,6 @@ Jobs meet only through tables (parquet under ``Tables.base``):
 
 from __future__ import annotations
 
-import contextlib
 import dataclasses
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,18 +26,6 @@ from spendwatch.params import Params
 from spendwatch.session import checkpoint, require_utc
 
 
-@contextlib.contextmanager
-def persisted(df: DataFrame):
-    """SC8: keep a frame used by several consumers for the duration of a
-    block, then release it.  (Storage is memory-and-disk; a lost executor
-    recomputes its blocks from lineage.)"""
-    df = df.persist()
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 @dataclasses.dataclass(frozen=True)
 class Tables:
     base: str
@@ -54,10 +41,12 @@ def baseline_refresh(spark: SparkSession, t: Tables, usage_df: DataFrame, prices
     excluded = usage.exclusion_keys(rules, history, p.broadcast_max_rows)
     counts = Observation("priced")
     priced = usage.priced_usage(usage_df, prices, excluded, p).observe(counts, F.count(F.lit(1)).alias("rows"))
-    with persisted(priced) as cached:
-        rates = pricing.pricing_rates(card, pricing.customer_rates(cached), aliases, p)
-        sinks.overwrite(baseline.workspace_baseline(cached, p, checkpoint=False), t.path("workspace_baseline"))
-        sinks.overwrite(rates, t.path("pricing_rates"))
+    # SC8: both tables read the sums from the shared table, not the usage again.
+    sinks.overwrite(usage.priced_daily(priced), t.path("priced_daily"))
+    daily = spark.read.parquet(t.path("priced_daily"))
+    rates = pricing.pricing_rates(card, pricing.customer_rates(daily), aliases, p)
+    sinks.overwrite(baseline.workspace_baseline(daily, p), t.path("workspace_baseline"))
+    sinks.overwrite(rates, t.path("pricing_rates"))
     written = {name: spark.read.parquet(t.path(name)).count() for name in ("workspace_baseline", "pricing_rates")}
     return {"priced_rows": counts.get["rows"], **{f"{name}_rows": n for name, n in written.items()}}
 

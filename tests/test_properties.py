@@ -185,3 +185,13 @@ def test_scoring_alerts_and_backtest_without_broadcasts(spark):
     routed = [near(alerts.route(i.alerts(p), i.directory, p)) for p in (fx.ALERT_PARAMS, fx.ALERT_PARAMS.replace(**off))]
     assert routed[0] == routed[1]
     assert near(i.backtest(fx.BACKTEST_PARAMS)) == near(i.backtest(fx.BACKTEST_PARAMS.replace(**off)))
+
+
+def test_daily_tables_are_the_same_from_priced_sums(mid):
+    priced = mid.priced()
+    daily = usage.priced_daily(priced)
+    assert set(daily.columns) == set(priced.columns)
+    assert 0 < daily.count() <= priced.count()
+    assert rows(pricing.customer_rates(daily)) == rows(pricing.customer_rates(priced))
+    near = lambda df: [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in rows(df)]
+    assert near(baseline.workspace_baseline(daily, fx.USAGE_PARAMS)) == near(baseline.workspace_baseline(priced, fx.USAGE_PARAMS))
