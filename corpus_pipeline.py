@@ -53,7 +53,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The places of all pieces in sequences of at most 2048 tokens."""
     workers_import(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, special_tokens=True)
 
 
 STAGES = [

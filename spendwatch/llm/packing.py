@@ -8,17 +8,21 @@ held in stacks by free space; a bitset says which free spaces have a bin, so
 the best fit is the lowest set bit at or above the piece's length.  When a new
 bin is needed and none may be opened, the fullest bin closes.
 
-The tokens come from the vocabulary's rank file, whose ids equal those of its
-JSON file for every text (tested over all code points); the rank form encodes
-several times faster.
-
-Defined cases: a null or empty text is the closing id alone; repeated rows are
-packed as often as they occur; ties go by doc_id and piece, so the result of a
+The ids are those of the tokenizers library on the vocabulary's JSON file.  The
+rank form of the same vocabulary encodes several times faster and takes the texts
+for which both give the same ids; the library itself takes those with a run of at
+least LONG_RUN whitespace characters, where the rank form's split overflows, and,
+with ``special_tokens``, those with the literal of an added token.
+
+Defined cases: a null or empty text is the closing id alone; an added token's
+literal is ordinary text unless ``special_tokens`` is set, as the queries do, which
+gives its id as the library does by default; repeated rows are packed as often as they occur; ties go by doc_id and piece, so the result of a
 group does not depend on the order of its input.
 """
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,6 +37,8 @@ CAPACITY = 2048
 CLOSING_ID = 0
 OPEN_BINS = 4096
 GROUP_SEQUENCES = 4096
+LONG_RUN = 100_000
+_RUN = re.compile(rf"(?<!\s)\s{{{LONG_RUN}}}")
 _encoders: dict[str, object] = {}
 
 
@@ -49,15 +55,48 @@ def encoder(vocabulary: str):
     return _encoders[vocabulary]
 
 
-def pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def library(vocabulary: str, special_tokens: bool):
+    """The tokenizers library on a vocabulary's JSON file, loaded when first needed."""
+    if (vocabulary, special_tokens) not in _encoders:
+        from tokenizers import Tokenizer
+        own = Tokenizer.from_file(vocabulary)
+        if not special_tokens:
+            own.encode_special_tokens = True
+        _encoders[vocabulary, special_tokens] = own
+    return _encoders[vocabulary, special_tokens]
+
+
+def added_tokens(vocabulary: str) -> list[str]:
+    """The literals that the library reads as single tokens."""
+    import json
+    with open(vocabulary, encoding="utf-8") as file:
+        return [t["content"] for t in json.load(file)["added_tokens"]]
+
+
+def ids_of(vocabulary: str, special_tokens: bool):
+    """The function from a text to its ids."""
+    import public_tokenizers
+    bpe = encoder(public_tokenizers.path(vocabulary))
+    whole = public_tokenizers.path(vocabulary.rsplit(".", 1)[0] + ".json")
+    literals = added_tokens(whole) if special_tokens else []
+
+    def run(text: str) -> list[int]:
+        if any(x in text for x in literals) or (len(text) >= LONG_RUN and _RUN.search(text)):
+            return library(whole, special_tokens).encode(text, add_special_tokens=False).ids
+        return bpe.encode_ordinary(text)
+
+    return run
+
+
+def pieces(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", capacity: int = CAPACITY, with_ids: bool = False,
+           special_tokens: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids): the document's ids, cut at ``capacity``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import public_tokenizers
-        bpe = encoder(public_tokenizers.path(vocabulary))
+        encode = ids_of(vocabulary, special_tokens)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.append(np.array(bpe.encode_ordinary(text.as_py()), dtype="<u4"), np.uint32(CLOSING_ID)).astype("<u4")
+                ids = np.append(np.array(encode(text.as_py()), dtype="<u4"), np.uint32(CLOSING_ID)).astype("<u4")
                 count = -(-ids.size // capacity)
                 cut = ids.size - capacity * (count - 1)
                 for k in range(count):
@@ -108,9 +147,9 @@ def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[in
 
 
 def pack(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", capacity: int = CAPACITY, open_bins: int = OPEN_BINS,
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False, special_tokens: bool = False) -> DataFrame:
     """One row per piece: its ids' place in the document, their checksum, its sequence and the offset there."""
-    cut = stage(pieces(docs, vocabulary, capacity, with_ids), "packing-pieces")
+    cut = stage(pieces(docs, vocabulary, capacity, with_ids, special_tokens), "packing-pieces")
     total = cut.agg(F.sum("length").alias("n")).first()["n"] or 0
     groups = max(1, round(total / (capacity * GROUP_SEQUENCES)))
 

@@ -54,7 +54,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(table(spark, sf_dir, "documents"), special_tokens=True)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -81,3 +81,26 @@ def test_best_fit_takes_the_fullest_bin_that_fits_and_bounds_open_bins():
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string, offset int")).count() == 0
+
+
+def test_special_tokens_and_long_whitespace_equal_the_library_with_its_defaults(spark):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|> x", "<|endoftext>", " " * 1_000_000 + "x", "\n " * 700_000 + "x",
+             "　" * 100_000 + "<|endoftext|>", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ids = {}
+    for r in packing.pieces(docs, with_ids=True, special_tokens=True).orderBy("doc_id", "piece").collect():
+        ids[r.doc_id] = ids.get(r.doc_id, b"") + bytes(r.ids)
+    for i, text in enumerate(texts):
+        assert ids[i] == np.array([*t.encode(text, add_special_tokens=False).ids, 0], "<u4").tobytes()
+    assert np.frombuffer(ids[0], "<u4").tolist() == [64, 50256, 65, 0]
+
+
+def test_the_queries_take_the_library_defaults(spark, tmp_path):
+    import corpus_pipeline
+    from spendwatch.llm.queries import op10_packing
+    spark.createDataFrame([(1, "a<|endoftext|>b")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    crc = zlib.crc32(np.array([64, 50256, 65, 0], "<u4").tobytes())
+    assert [r.ids_crc32 for r in op10_packing(spark, str(tmp_path)).collect()] == [crc]
+    assert [r.ids_crc32 for r in corpus_pipeline.best_fit_packing(spark, docs, str(tmp_path)).collect()] == [crc]
