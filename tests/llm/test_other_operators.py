@@ -1,5 +1,6 @@
 import gzip
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -256,3 +257,20 @@ def test_toxicity_without_labels_or_documents(spark):
 
 def test_every_operator_has_its_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+
+
+def test_neighbours_are_taken_over_whole_vectors(spark):
+    """Seven examples of each label: no word separates them beyond a fixed significance."""
+    rng = random.Random(9)
+    say = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(30))
+    ids = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5][:14]
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 5 == 0][:4]
+    rows = [(i, say() + (" vile" if k % 2 else " kind")) for k, i in enumerate(ids)] + [(i, say() + (" vile" if k % 2 else " kind")) for k, i in enumerate(held)]
+    docs = spark.createDataFrame(rows + [(900, rows[0][1]), (901, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    out = {r.doc_id: r for r in toxicity.score(docs, labels).collect()}
+    assert [out[i].predicted for i in held] == [0, 1, 0, 1]
+    assert all(out[i].n_neighbours >= 7 for i in held)
+    assert out[900].top_cosine == pytest.approx(1, abs=1e-5) and out[901].n_neighbours == 0
+    # Every word counts, also those that one example alone has.
+    assert out[900].n_neighbours >= 7 and out[ids[1]].top_cosine == pytest.approx(1, abs=1e-5)
