@@ -16,7 +16,8 @@ the item; a shingle that very many items and documents share therefore does
 not by itself make candidates of all their pairs.  Candidates are verified by exact containment.
 
 Defined cases: null, empty and wordless texts contain and match nothing; a text
-of fewer words than a shingle is one shingle of its own; of repeated rows of
+of fewer words than a shingle is one shingle of its own, so an item of one to four
+words is found only in a document that is nothing but the item; of repeated rows of
 one (doc_id, item_id) the highest containment is returned once; rows with a
 null doc_id or item_id are not reported.
 """
