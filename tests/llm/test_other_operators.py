@@ -274,3 +274,12 @@ def test_neighbours_are_taken_over_whole_vectors(spark):
     assert out[900].top_cosine == pytest.approx(1, abs=1e-5) and out[901].n_neighbours == 0
     # Every word counts, also those that one example alone has.
     assert out[900].n_neighbours >= 7 and out[ids[1]].top_cosine == pytest.approx(1, abs=1e-5)
+
+
+def test_digests_take_their_loss_from_the_examples(spark, monkeypatch):
+    rows = [(1, 0, "user", "a", 0), (1, 1, "assistant", "b<c", 0), (2, 0, "assistant", "dé𝄞", 0), (2, 1, "assistant", "", 0)]
+    formatted = chat_format.format_turns(turns(spark, rows))
+    assert {r.conv_id: r.loss_chars for r in chat_format.digests(formatted).collect()} == {1: 3, 2: 3}
+    own = chat_format.with_examples
+    monkeypatch.setattr(chat_format, "with_examples", lambda f: own(f).withColumn("example", F.when(F.col("conv_id") == 1, F.col("example"))))
+    assert {r.conv_id: r.loss_chars for r in chat_format.digests(formatted).collect()} == {1: 3, 2: 0}
