@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendwatch.llm import chat_format, decontam, near_dup, packing, quality, secret_scan, suffix_dedup, toxicity, url_filter, warc
+from spendwatch.llm import (chat_format, decontam, near_dup, packing, quality, secret_scan, suffix_dedup, token_align, toxicity,
+                            url_filter, warc)
 from spendwatch.llm.common import table
 
 
@@ -57,7 +58,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), special_tokens=True)
 
 
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.alignments(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_secret_scan, op2_url_filter, op3_chat_format, op4_suffix_dedup, op5_toxicity, op6_near_dup, op7_warc,
-        op8_decontamination, op9_quality_rules, op10_packing)}
+        op8_decontamination, op9_quality_rules, op10_packing, op13_token_align)}
