@@ -111,6 +111,33 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> last THEN 'r
 FROM page LEFT JOIN last USING (payload_digest)
 """
 
+LINES = """
+WITH split AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+line AS (SELECT r, doc_id, unnest(range(1, len(ls) + 1)) AS at, unnest(ls) AS l FROM split),
+keyed AS (SELECT *, translate(trim(l, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM line),
+common AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10),
+marked AS (SELECT *, k IN (SELECT k FROM common) AS gone FROM keyed)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r
+"""
+
+TERMS = rf"regexp_extract_all({ASCII_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+SEARCH = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS ts FROM documents),
+corpus AS (SELECT count(*) FILTER (WHERE len(ts) > 0) AS big_n, CAST(sum(len(ts)) AS BIGINT) AS big_l FROM doc),
+size AS (SELECT r, doc_id, 10 + (90 * len(ts) * big_n) // big_l AS m FROM doc, corpus WHERE len(ts) > 0),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM doc) GROUP BY ALL),
+item AS (SELECT DISTINCT item_id, unnest({TERMS}) AS t FROM benchmark),
+weight AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(big_n) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+           FROM tf, corpus WHERE t IN (SELECT t FROM item) GROUP BY t),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+           FROM item JOIN tf USING (t) JOIN weight USING (t) JOIN size USING (r) GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -119,4 +146,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_warc": WARC,
         "op8_decontamination": DECONTAMINATION,
         "op9_quality_rules": QUALITY,
+        "op11_line_dedup": LINES,
+        "op12_term_search": SEARCH,
     }

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spendwatch.llm import (chat_format, decontam, near_dup, packing, quality, secret_scan, suffix_dedup, token_align, toxicity,
-                            url_filter, warc)
+from spendwatch.llm import (chat_format, decontam, line_dedup, near_dup, packing, quality, secret_scan, suffix_dedup, term_search,
+                            token_align, toxicity, url_filter, warc)
 from spendwatch.llm.common import table
 
 
@@ -58,6 +58,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), special_tokens=True)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+def op12_term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_align.alignments(table(spark, sf_dir, "documents"))
 
@@ -65,4 +73,5 @@ def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_secret_scan, op2_url_filter, op3_chat_format, op4_suffix_dedup, op5_toxicity, op6_near_dup, op7_warc,
-        op8_decontamination, op9_quality_rules, op10_packing, op13_token_align)}
+        op8_decontamination, op9_quality_rules, op10_packing, op11_line_dedup, op12_term_search,
+        op13_token_align)}
