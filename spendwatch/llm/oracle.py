@@ -113,13 +113,13 @@ FROM page LEFT JOIN last USING (payload_digest)
 
 LINES = """
 WITH split AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-line AS (SELECT r, doc_id, unnest(range(1, len(ls) + 1)) AS at, unnest(ls) AS l FROM split),
+line AS (SELECT r, doc_id, unnest(range(1, len(ls) + 1)) AS pos, unnest(ls) AS l FROM split),
 keyed AS (SELECT *, translate(trim(l, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM line),
 common AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10),
 marked AS (SELECT *, k IN (SELECT k FROM common) AS gone FROM keyed)
 SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_dropped,
-  sha256(coalesce(string_agg(l, chr(10) ORDER BY at) FILTER (WHERE NOT gone), '')) AS kept_sha256
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY r
 """
 
