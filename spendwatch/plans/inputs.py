@@ -90,6 +90,10 @@ class Inputs:
         cache[("rates", p)] = self._written("refresh-rates", rates)
         cache[("baseline", p)] = self._written("refresh-baseline", baseline.workspace_baseline(daily, p))
 
+    def table(self, name: str, frame: DataFrame) -> DataFrame:
+        """``frame`` written once for several readers."""
+        return self._written(name, frame)
+
     def _written(self, name: str, frame: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, name)
         sinks.overwrite(frame, path)

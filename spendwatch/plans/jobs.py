@@ -4,11 +4,15 @@ Jobs meet only through tables (parquet under ``Tables.base``):
 
 * ``baseline_refresh`` (daily): ``pricing_rates`` and ``workspace_baseline``
   from ``priced_daily``, the sums of one pass over priced usage;
-* ``monitor`` (every 15 minutes): scores an inventory snapshot and appends
-  it to ``cluster_scores`` (partitioned by ``snapshot_date``);
+* ``monitor`` (every 15 minutes): scores an inventory snapshot and adds it as
+  the run ``p.as_of`` to ``cluster_scores`` (partitioned by ``snapshot_date``);
 * ``route_alerts`` (every 30 minutes): latest alerts minus suppressed ones
   become the run's part of ``alert_outbox`` and of ``alert_send_log``;
-* ``run_backtest`` (manual): overwrites ``backtest_results``.
+* ``run_backtest`` (manual): replaces ``backtest_results``.
+
+All but the outbox and the log change in one step (``operators.published``): a job
+that reads while another writes sees the version before or after, a failed job
+leaves the tables as they were, and a repeated run replaces its own rows.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark.sql import functions as F
 from spendwatch import schemas as S
 from spendwatch.functions.columns import instant
 from spendwatch.functions.rules import ExclusionRules
-from spendwatch.operators import alerts, backtest, baseline, pricing, scoring, sinks, usage
+from spendwatch.operators import alerts, backtest, baseline, pricing, published, scoring, sinks, usage
 from spendwatch.params import Params
 from spendwatch.session import checkpoint, require_utc
 
@@ -42,24 +46,37 @@ def baseline_refresh(spark: SparkSession, t: Tables, usage_df: DataFrame, prices
     counts = Observation("priced")
     priced = usage.priced_usage(usage_df, prices, excluded, p).observe(counts, F.count(F.lit(1)).alias("rows"))
     # SC8: both tables read the sums from the shared table, not the usage again.
-    sinks.overwrite(usage.priced_daily(priced), t.path("priced_daily"))
-    daily = spark.read.parquet(t.path("priced_daily"))
-    rates = pricing.pricing_rates(card, pricing.customer_rates(daily), aliases, p)
-    sinks.overwrite(baseline.workspace_baseline(daily, p), t.path("workspace_baseline"))
-    sinks.overwrite(rates, t.path("pricing_rates"))
-    written = {name: spark.read.parquet(t.path(name)).count() for name in ("workspace_baseline", "pricing_rates")}
-    return {"priced_rows": counts.get["rows"], **{f"{name}_rows": n for name, n in written.items()}}
+    priced_daily = usage.priced_daily(priced)
+    published.publish(priced_daily, t.path("priced_daily"))
+    daily = published.current(spark, t.path("priced_daily"), priced_daily.schema)
+    rows = {"priced_rows": counts.get["rows"]}
+    for name, frame in (("workspace_baseline", baseline.workspace_baseline(daily, p)),
+                        ("pricing_rates", pricing.pricing_rates(card, pricing.customer_rates(daily), aliases, p))):
+        # AG14: counted while written.
+        seen = Observation(name)
+        published.publish(frame.observe(seen, F.count(F.lit(1)).alias("rows")), t.path(name))
+        rows[f"{name}_rows"] = seen.get["rows"]
+    return rows
 
 
 def monitor(spark: SparkSession, t: Tables, inventory: DataFrame, rules: ExclusionRules, p: Params) -> None:
     """Stops without a baseline: a mistyped path must not mark every cluster
-    as unknown."""
+    as unknown.  Repeated with one ``as_of`` it replaces that run's rows."""
     require_utc(spark)
-    rates = sinks.read_or_empty(spark, t.path("pricing_rates"), S.PRICING_RATES)
-    base = sinks.read_or_empty(spark, t.path("workspace_baseline"), S.WORKSPACE_BASELINE)
+    rates = published.current(spark, t.path("pricing_rates"), S.PRICING_RATES)
+    base = published.current(spark, t.path("workspace_baseline"), S.WORKSPACE_BASELINE)
     if base.limit(1).count() == 0:
         raise ValueError(f"no baseline rows under {t.path('workspace_baseline')}; run baseline_refresh first")
-    sinks.write_scores(scoring.score_inventory(inventory, rates, base, rules, p), t.path("cluster_scores"))
+    scores = scoring.score_inventory(inventory, rates, base, rules, p)
+    published.append_run(scores, t.path("cluster_scores"), run_name(p), "snapshot_date")
+
+
+def run_name(p: Params) -> str:
+    return f"{p.as_of:%Y%m%dT%H%M%S%f}"
+
+
+def read_scores(spark: SparkSession, t: Tables) -> DataFrame:
+    return published.current_runs(spark, t.path("cluster_scores"), S.CLUSTER_SCORES).drop(published.RUN)
 
 
 def route_alerts(spark: SparkSession, t: Tables, directory: DataFrame, p: Params) -> DataFrame:
@@ -69,10 +86,10 @@ def route_alerts(spark: SparkSession, t: Tables, directory: DataFrame, p: Params
     require_utc(spark)
     if not p.alert_channel:
         raise ValueError("route_alerts needs Params.alert_channel")
-    run = f"{p.as_of:%Y%m%dT%H%M%S%f}"
-    scores = sinks.read_scores(spark, t.path("cluster_scores"))
+    run = run_name(p)
+    scores = read_scores(spark, t)
     log = sinks.read_send_log(spark, t.path("alert_send_log")).where(F.col("sent_at") != instant(p.as_of))
-    base = sinks.read_or_empty(spark, t.path("workspace_baseline"), S.WORKSPACE_BASELINE)
+    base = published.current(spark, t.path("workspace_baseline"), S.WORKSPACE_BASELINE)
     to_send = alerts.alerts_to_send(alerts.alerts_latest(scores, p), log, p)
     outbox_path = t.path(f"alert_outbox/run={run}")
     sinks.overwrite(alerts.alert_outbox(to_send, base, directory, p), outbox_path)
@@ -87,5 +104,5 @@ def run_backtest(spark: SparkSession, t: Tables, usage_df: DataFrame, prices: Da
     excluded = usage.exclusion_keys(rules, history, p.broadcast_max_rows)
     raw = checkpoint(backtest.backtest(usage_df, prices, excluded, p))
     results = backtest.enrich(raw, backtest.meta_for(raw, history))
-    sinks.overwrite(results, t.path("backtest_results"))
-    return spark.read.parquet(t.path("backtest_results"))
+    published.publish(results, t.path("backtest_results"))
+    return published.current(spark, t.path("backtest_results"), results.schema)

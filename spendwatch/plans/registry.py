@@ -6,12 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendwatch import schemas as S
 from spendwatch.functions.columns import driver_type, is_photon, photon_flag, worker_count
-from spendwatch.operators import alerts, backtest, baseline, pricing, scoring, sinks, usage
+from spendwatch.operators import alerts, backtest, baseline, pricing, published, replay, scoring, sinks, usage
 from spendwatch.plans import streams
 from spendwatch.plans.inputs import Inputs, older
 from spendwatch.session import checkpoint, scratch_path
@@ -221,6 +222,10 @@ def q_alert_outbox(i: Inputs) -> DataFrame:
     return alerts.alert_outbox(i.to_send(AL), i.baseline(U), i.directory, AL)
 
 
+def q_suppression_replay(i: Inputs) -> DataFrame:
+    return replay.sends_over_history(_scored(i), AL)
+
+
 def q_send_audit(i: Inputs) -> DataFrame:
     return alerts.send_audit(i.send_log(AL))
 
@@ -314,6 +319,45 @@ def q_sink_partitioned_scores(i: Inputs) -> DataFrame:
     return count_by(back, "snapshot_date")
 
 
+def q_sink_versions(i: Inputs) -> DataFrame:
+    """A table read before, after a failed and after a successful rewrite."""
+    path = scratch_path(i.spark, "baseline-versions")
+    columns = ["workspace_id", "lookback_days", "n_cluster_days", "mean_daily_dollars"]
+    old, new = (i.baseline(p).select(*columns) for p in (older(U, 7), U))
+    published.publish(old, path)
+    reads = [("bound before", published.current(i.spark, path, old.schema))]
+    # Fails after rows of the new version have been written.
+    broken = new.withColumn("lookback_days", F.when(F.col("n_cluster_days") > 0, F.raise_error(F.lit("lost midway")).cast("int")))
+    try:
+        published.publish(broken, path)
+    except PySparkException as lost:
+        if "lost midway" not in str(lost):
+            raise
+        reads.append(("after a failure", published.current(i.spark, path, old.schema)))
+    published.publish(new, path)
+    reads.append(("after the rewrite", published.current(i.spark, path, new.schema)))
+    out = None
+    for label, frame in reads:
+        frame = frame.withColumn("reader", F.lit(label))
+        out = frame if out is None else out.unionByName(frame)
+    return out
+
+
+def q_sink_repeated_runs(i: Inputs) -> DataFrame:
+    """Scores added year by year, one run twice after a partial first attempt: each row once.
+    Unpartitioned, since a year of the fixture holds hundreds of dates."""
+    path, year = scratch_path(i.spark, "scores-by-run"), F.date_format("snapshot_date", "yyyy")
+    staged = i.table("scores-once", _scored(i))
+    runs = [str(y) for y in range(1995, 2002)]
+    for run in [*runs[:3], runs[1], *runs[3:], runs[1]]:
+        rows = staged.where(year == run)
+        if run == runs[1]:
+            half = rows.where(F.pmod(F.xxhash64("cluster_id", "snapshot_ts"), F.lit(2)) == 0)
+            published.append_run(half, path, run, fan=2)
+        published.append_run(rows, path, run, fan=2)
+    return count_by(published.current_runs(i.spark, path, S.CLUSTER_SCORES), published.RUN, "signal")
+
+
 # --- streaming ------------------------------------------------------------------------------------
 def q_stream_scores(i: Inputs) -> DataFrame:
     out = streams.scores_from_inventory(i, SC)
@@ -330,6 +374,10 @@ def q_stream_suppression(i: Inputs) -> DataFrame:
               "projected_daily_dollars")
 
 
+def q_stream_sends(i: Inputs) -> DataFrame:
+    return streams.sends_from_history(i, AL).select("workspace_id", "cluster_id", "signal", F.col("snapshot_ts").alias("sent_at"))
+
+
 _QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

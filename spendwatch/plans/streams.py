@@ -6,8 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spendwatch.operators.alerts import ALERT_SIGNALS
 from spendwatch.operators.sinks import read_or_empty
 from spendwatch.params import Params
+from spendwatch.schemas import ALERT_COLUMNS
 from spendwatch.streaming import hourly, scores, suppression
 from spendwatch.streaming.common import run_available_now, stream_dirs
 
@@ -60,3 +62,15 @@ def suppression_from_alerts(inputs, p: Params) -> DataFrame:
         _arrive(alerts.where(half == k), src)
         run_available_now(suppression.stream_alerts(spark, src, alerts.schema, log_path, out, baseline, inputs.directory, p, ckpt))
     return read_or_empty(spark, f"{out}/alerts", alerts.schema).select(alerts.columns)
+
+
+def sends_from_history(inputs, p: Params) -> DataFrame:
+    """All alerts of the history in three arrivals, by time, each a run of its own."""
+    spark = inputs.spark
+    src, out, ckpt = stream_dirs(spark, "stream-sends")
+    alerts = inputs.scores().where(F.col("signal").isin(*ALERT_SIGNALS)).select(*ALERT_COLUMNS)
+    cuts = ["1900-01-01", "1997-03-01", "1999-07-01", "2200-01-01"]
+    for lo, hi in zip(cuts, cuts[1:]):
+        _arrive(alerts.where((F.col("snapshot_ts") >= lo) & (F.col("snapshot_ts") < hi)), src)
+        run_available_now(suppression.stream_sends(spark, src, alerts.schema, out, p, ckpt))
+    return read_or_empty(spark, out, alerts.schema)

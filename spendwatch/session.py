@@ -4,6 +4,7 @@ location taken from ``spark.checkpoint.dir``."""
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -41,6 +42,15 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "spe
     return spark
 
 
+def workers_import(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the
+    driver did (on a cluster it is installed, or sent with --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
 def require_utc(spark: SparkSession) -> None:
     """Hour and date functions follow the session time zone; the jobs are
     written for UTC and do not change the caller's session."""
@@ -97,6 +107,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/spendwatch-{name}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path``, and the path as it takes it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote."""
+    fs, place = file_system(spark, path)
+    fs.delete(place, True)
+
+
 def checkpoint(df):
     """Reliable checkpoint into the shared checkpoint directory (never
     ``localCheckpoint``): the frame is written once and its lineage cut, so a

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import contextlib
+
 from pyspark.sql.streaming import StreamingQuery
 
 from spendwatch.session import scratch_path
@@ -16,3 +17,18 @@ def run_available_now(query: StreamingQuery) -> None:
 def stream_dirs(spark, name: str) -> tuple[str, str, str]:
     base = scratch_path(spark, name)
     return f"{base}/in", f"{base}/out", f"{base}/checkpoint"
+
+
+@contextlib.contextmanager
+def keyed_state(spark):
+    """Queries started inside keep their state in RocksDB, which keyed state with timers needs."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
