@@ -9,7 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendwatch import schemas as S
+from spendwatch.session import local_frame
 
+# Id and creator lists up to this length are matched inline (IN set); longer ones
+# by a broadcast join.
+INLINE_LIST_MAX = 10_000
 # Up to so many globs are one flat expression.
 INLINE_GLOBS = 64
 # Most rules that a rule table may hold.
@@ -91,15 +95,15 @@ class ExclusionRules:
     creators: tuple[str, ...] = ()
 
     def ids_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(i,) for i in dict.fromkeys(self.ids)], "rule_id string")
+        return local_frame(spark, [(i,) for i in dict.fromkeys(self.ids)], "rule_id string")
 
     def creators_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(c,) for c in dict.fromkeys(self.creators)], "rule_creator string")
+        return local_frame(spark, [(c,) for c in dict.fromkeys(self.creators)], "rule_creator string")
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
         rows = ([("id", v) for v in self.ids] + [("name_glob", v) for v in self.name_patterns]
                 + [("creator", v) for v in self.creators])
-        return spark.createDataFrame([(i + 1, t, v) for i, (t, v) in enumerate(rows)], S.EXCLUSION_RULES)
+        return local_frame(spark, [(i + 1, t, v) for i, (t, v) in enumerate(rows)], S.EXCLUSION_RULES)
 
     @classmethod
     def from_frame(cls, rules: DataFrame) -> "ExclusionRules":

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from spendwatch.functions.columns import log_z
 from spendwatch.operators.alerts import latest_by
 from spendwatch.operators.baseline import CLUSTER_DAY_KEYS, attach_baseline, rolling_baseline
-from spendwatch.operators.stats import exact_percentiles
+from spendwatch.operators.stats import percentiles_of_few
 from spendwatch.operators.usage import hourly_spend
 from spendwatch.params import Params
-from spendwatch.session import checkpoint as checkpoint_df
+from spendwatch.session import written
 
 def _day() -> Window:
     return Window.partitionBy(*CLUSTER_DAY_KEYS)
@@ -115,8 +115,8 @@ def backtest(usage: DataFrame, prices: DataFrame, excluded: DataFrame, p: Params
     window, so bad days need no second aggregation and no re-join).
 
     The hourly aggregate feeds the replay and the rolling baseline: it is
-    written once to the shared checkpoint folder, so usage is scanned once."""
-    hourly = checkpoint_df(hourly_spend(usage, prices, excluded, p))
+    written once to the shared folder, so usage is scanned once."""
+    hourly = written(hourly_spend(usage, prices, excluded, p))
     tiered = replay(hourly, p)
     if p.warmup_days:
         start = p.as_of_date - dt.timedelta(days=p.backtest_lookback_days)
@@ -155,14 +155,14 @@ def enrich(results: DataFrame, meta: DataFrame) -> DataFrame:
 def backtest_summary(results: DataFrame, checkpoint: bool = True) -> DataFrame:
     """AG18: per workspace and outcome -- days, share of the workspace's bad
     days, lead-time median / p90 (exact) and dollars.  ``results`` feeds three
-    consumers, so it is checkpointed once unless it is already a table."""
+    consumers, so it is written once unless it is already a table."""
     if checkpoint:
-        results = checkpoint_df(results)
+        results = written(results)
     exact = F.col("actual_daily_dollars").cast("decimal(38,12)")
     grouped = results.groupBy("workspace_id", "outcome").agg(
         F.count(F.lit(1)).alias("n_days"), F.sum(exact).cast("double").alias("dollars"))
     share = F.col("n_days") / F.sum("n_days").over(Window.partitionBy("workspace_id"))
-    leads = exact_percentiles(results, ["workspace_id", "outcome"], "lead_hours",
-                              {"lead_p50": 0.5, "lead_p90": 0.9})
+    # A lead is one of 24 numbers.
+    leads = percentiles_of_few(results, ["workspace_id", "outcome"], "lead_hours", {"lead_p50": 0.5, "lead_p90": 0.9})
     return grouped.withColumn("share", share).join(leads, ["workspace_id", "outcome"], "left").select(
         "workspace_id", "outcome", "n_days", "share", "lead_p50", "lead_p90", "dollars")

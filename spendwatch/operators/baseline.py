@@ -9,7 +9,7 @@ from spendwatch.functions.columns import instant
 from spendwatch.operators.joins import broadcast_if_fits
 from spendwatch.operators.stats import exact_percentiles
 from spendwatch.params import BROADCAST_MAX_ROWS, Params
-from spendwatch.session import checkpoint as checkpoint_df
+from spendwatch.session import written
 
 CLUSTER_DAY_KEYS = ["workspace_id", "usage_date", "cluster_id"]
 PERCENTILES = {"p50_daily_dollars": 0.5, "p90_daily_dollars": 0.9,
@@ -46,7 +46,7 @@ def workspace_baseline(priced: DataFrame, p: Params, checkpoint: bool = True) ->
         # Cluster-days are orders of magnitude smaller than usage and feed three
         # consumers (moments, histogram, ranked values): write them once to the
         # shared checkpoint directory and cut the lineage there.
-        days = checkpoint_df(days)
+        days = written(days)
     moments = days.groupBy("workspace_id").agg(
         F.count(F.lit(1)).alias("n_cluster_days"),
         exact_mean("daily_exact").alias("mean_daily_dollars"),

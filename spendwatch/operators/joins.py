@@ -8,31 +8,52 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spendwatch.functions.columns import OPEN_END
+from spendwatch.session import written
 
+# The largest side that is broadcast, the size a row is taken for where only a
+# number of rows is given, and how much smaller a compressed file may be than its rows.
+BROADCAST_MAX_BYTES = 64 << 20
+ROW_BYTES = 128
+PACKING = 4
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit`` bounds the work: the scan stops once ``max_rows + 1`` rows are
-    seen, so the check stays cheap even when the answer is no.  The answer is
-    remembered on the DataFrame object, so a side used by several joins is
-    counted once.
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size of ``df``: exact for local rows, from the files for a scan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def bounded(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """``df`` and whether it may be broadcast: at most BROADCAST_MAX_BYTES, and
+    no more than ``max_rows`` rows of ROW_BYTES.
+
+    The optimizer's size answers without a job when it is small.  Where it is not
+    (joins are estimated as products), the frame is computed once into the scratch
+    folder and its written size decides, so no side runs twice.  The written table
+    comes back in place of ``df``.
     """
-    memo = getattr(df, "_spendwatch_rows_checked", None)
-    if memo is not None and memo[0] == max_rows:
-        return memo[1]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    try:
-        df._spendwatch_rows_checked = (max_rows, ok)
-    except AttributeError:
-        pass
-    return ok
+    limit = min(BROADCAST_MAX_BYTES, max_rows * ROW_BYTES)
+    if limit <= 0:
+        return df, False
+    if planned_bytes(df) <= limit:
+        return df, True
+    df = written(df, "side")
+    return df, planned_bytes(df) <= limit // PACKING
 
 
 def broadcast_if_fits(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only behind a row-count check; otherwise leave the
+    """Broadcast ``df`` only behind a check of its size; otherwise leave the
     choice to the planner (sort-merge / shuffle-hash, AQE skew splits)."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+    df, fits = bounded(df, max_rows)
+    return F.broadcast(df) if fits else df
+
+
+def join_small_side(a: DataFrame, b: DataFrame, on: str | list[str], max_rows: int) -> DataFrame:
+    """``a`` joined with ``b``, broadcasting whichever the optimizer knows to be
+    small; if it knows neither, ``b`` behind its written size."""
+    limit = min(BROADCAST_MAX_BYTES, max_rows * ROW_BYTES)
+    if planned_bytes(b) > limit >= planned_bytes(a):
+        return F.broadcast(a).join(b, on)
+    return a.join(broadcast_if_fits(b, max_rows), on)
 
 
 def broadcast_if_known_small(df: DataFrame, known_rows: int, max_rows: int) -> DataFrame:
@@ -68,7 +89,8 @@ def price_join(usage: DataFrame, prices: DataFrame, how: str, lo: dt.date, hi: d
         F.col("pricing.default").alias("dollars_per_dbu"),
     )
     within = (F.col("usage_start_time") >= F.col("_p_start")) & (F.col("usage_start_time") < F.col("_p_end"))
-    if fits(p, max_rows):
+    p, fits = bounded(p, max_rows)
+    if fits:
         joined = usage.join(F.broadcast(p), (F.col("sku_name") == F.col("_p_sku")) & within, how)
         return joined.drop("_p_sku", "_p_start", "_p_end")
     buckets = p.withColumn(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendwatch.functions.columns import instant, strip_photon_suffix
-from spendwatch.operators.joins import broadcast_if_fits
+from spendwatch.operators.joins import broadcast_if_fits, join_small_side
 from spendwatch.params import BROADCAST_MAX_ROWS, Params
 
 # The rate-card rows kept (all-purpose, one plan tier).
@@ -60,10 +60,10 @@ def customer_rates(priced: DataFrame) -> DataFrame:
 def pricing_rates(card: DataFrame, cust_rates: DataFrame, aliases: DataFrame, p: Params) -> DataFrame:
     """JN13: rate card rows (with aliases) priced at each workspace's own $/DBU
     of the same photon bucket; buckets a workspace never used are skipped.  The
-    rate card is the bounded side and is broadcast behind a size check."""
+    smaller of rates and card is broadcast behind a size check."""
     base = all_purpose(normalise_gcp(card) if p.normalise_gcp else card)
     rows = expand_aliases(base, aliases)
-    priced = cust_rates.join(broadcast_if_fits(rows, p.broadcast_max_rows), "photon")
+    priced = join_small_side(cust_rates, rows, "photon", p.broadcast_max_rows)
     return priced.select(
         "workspace_id", F.lit(p.cloud).alias("cloud"), "node_type", "workload", "photon", "sku_name",
         "dbu_per_hour", "dollars_per_dbu",

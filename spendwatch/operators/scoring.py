@@ -7,16 +7,12 @@ from pyspark.sql import functions as F
 
 from spendwatch.functions.columns import (
     driver_type, fmt_grouped, fmt_plain, is_photon, log_z, py_bool, py_str, worker_count)
-from spendwatch.functions.rules import ExclusionRules
+from spendwatch.functions.rules import INLINE_LIST_MAX, ExclusionRules
 from spendwatch.operators.baseline import attach_baseline, baseline_latest
 from spendwatch.operators.joins import broadcast_if_fits, broadcast_if_known_small
 from spendwatch.operators.pricing import rates_with_fallback, sku_by_photon
 from spendwatch.params import Params
 
-# Rule lists up to this length are matched inline (IN set); longer ones by a
-# broadcast join.
-INLINE_LIST_MAX = 10_000
-
 # What counts as a live all-purpose cluster.
 LIVE_STATES = ("RUNNING", "RESIZING")
 LIVE_SOURCES = ("UI", "API")

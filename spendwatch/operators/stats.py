@@ -84,3 +84,21 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
         outs.append(F.when(F.floor(pos) == F.ceil(pos), lo_v)
                     .otherwise((F.ceil(pos) - pos) * lo_v + (pos - F.floor(pos)) * hi_v).alias(name))
     return picked.groupBy(*keys).agg(*aggs).select(*keys, *outs)
+
+
+def percentiles_of_few(df: DataFrame, keys: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """As ``exact_percentiles``, for a column of few distinct values: they are
+    counted map-side, and a group is its short list of values with counts."""
+    counted = (df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double").alias("_v"))
+               .agg(F.count(F.lit(1)).alias("_m")))
+    up_to = Window.partitionBy(*keys).orderBy("_v")
+    counted = counted.withColumn("_end", F.sum("_m").over(up_to)).withColumn("_n", F.sum("_m").over(Window.partitionBy(*keys)))
+    outs = []
+    for name, p in probs.items():
+        pos = F.lit(float(p)) * (F.max("_n") - 1)
+        # The value of a rank is the first whose counts so far exceed it.
+        at = lambda rank: F.min(F.when(F.col("_end") > rank, F.col("_v")))
+        inner = F.lit(float(p)) * (F.col("_n") - 1)
+        lo, hi = at(F.floor(inner)), at(F.ceil(inner))
+        outs.append(F.when(F.floor(pos) == F.ceil(pos), lo).otherwise((F.ceil(pos) - pos) * lo + (pos - F.floor(pos)) * hi).alias(name))
+    return counted.groupBy(*keys).agg(*outs)

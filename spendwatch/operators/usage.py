@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendwatch.functions.columns import money, photon_flag
-from spendwatch.functions.rules import ExclusionRules
+from spendwatch.functions.rules import INLINE_LIST_MAX, ExclusionRules
 from spendwatch.operators.joins import broadcast_if_fits, broadcast_if_known_small, price_join
 from spendwatch.params import BROADCAST_MAX_ROWS, Params
 
@@ -53,7 +53,9 @@ def _history_matches(rules: ExclusionRules, history: DataFrame, max_rows: int) -
     versions is not a hot key."""
     hit = rules.name_matches(F.col("cluster_name"))
     hist = history.select(*KEYS, "cluster_name", "owned_by")
-    if rules.creators:
+    if 0 < len(rules.creators) <= INLINE_LIST_MAX:  # a hash-set lookup inside the generated code
+        hit = hit | F.coalesce(F.col("owned_by").isin(*rules.creators), F.lit(False))
+    elif rules.creators:
         creators = broadcast_if_known_small(rules.creators_frame(history.sparkSession), len(rules.creators), max_rows)
         hist = hist.join(creators, F.col("owned_by") == F.col("rule_creator"), "left")
         hit = hit | F.col("rule_creator").isNotNull()

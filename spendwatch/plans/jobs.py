@@ -27,7 +27,7 @@ from spendwatch.functions.columns import instant
 from spendwatch.functions.rules import ExclusionRules
 from spendwatch.operators import alerts, backtest, baseline, pricing, published, scoring, sinks, usage
 from spendwatch.params import Params
-from spendwatch.session import checkpoint, require_utc
+from spendwatch.session import require_utc, written
 
 
 @dataclasses.dataclass(frozen=True)
@@ -102,7 +102,7 @@ def run_backtest(spark: SparkSession, t: Tables, usage_df: DataFrame, prices: Da
                  rules: ExclusionRules, p: Params) -> DataFrame:
     require_utc(spark)
     excluded = usage.exclusion_keys(rules, history, p.broadcast_max_rows)
-    raw = checkpoint(backtest.backtest(usage_df, prices, excluded, p))
+    raw = written(backtest.backtest(usage_df, prices, excluded, p))
     results = backtest.enrich(raw, backtest.meta_for(raw, history))
     published.publish(results, t.path("backtest_results"))
     return published.current(spark, t.path("backtest_results"), results.schema)

@@ -15,7 +15,7 @@ from spendwatch.functions.columns import driver_type, is_photon, photon_flag, wo
 from spendwatch.operators import alerts, backtest, baseline, pricing, published, replay, scoring, sinks, usage
 from spendwatch.plans import streams
 from spendwatch.plans.inputs import Inputs, older
-from spendwatch.session import checkpoint, scratch_path
+from spendwatch.session import scratch_path, written
 from spendwatch.sources import fixtures as fx
 from spendwatch.sources.readers import rate_card_scan, write_json_lines
 
@@ -286,7 +286,7 @@ def q_cluster_meta_latest(i: Inputs) -> DataFrame:
 
 
 def q_backtest_enriched(i: Inputs) -> DataFrame:
-    raw = checkpoint(i.backtest(B))  # two consumers
+    raw = written(i.backtest(B))  # two consumers
     return r6(backtest.enrich(raw, backtest.meta_for(raw, i.history)), "z_score")
 
 

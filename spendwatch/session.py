@@ -9,7 +9,10 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -119,9 +122,19 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(place, True)
 
 
-def checkpoint(df):
-    """Reliable checkpoint into the shared checkpoint directory (never
-    ``localCheckpoint``): the frame is written once and its lineage cut, so a
-    lost executor re-reads it instead of recomputing the whole plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
+    """A few rows as a local relation, whose size the optimizer knows (a list
+    handed to ``createDataFrame`` is an RDD of unknown size)."""
+    struct = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) if rows else [[] for _ in struct]
+    table = pa.table([pa.array(list(c), to_arrow_type(f.dataType)) for c, f in zip(columns, struct)], names=struct.names)
+    return spark.createDataFrame(table, struct)
+
+
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` computed once into a scratch table and read back: its lineage is
+    cut, a lost executor re-reads it instead of recomputing the plan, readers
+    prune its columns, and its size is known.  Never ``localCheckpoint``."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

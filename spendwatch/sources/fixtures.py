@@ -18,6 +18,7 @@ from spendwatch import schemas as S
 from spendwatch.functions.columns import instant
 from spendwatch.functions.rules import ExclusionRules
 from spendwatch.params import Params
+from spendwatch.session import local_frame
 from spendwatch.sources.readers import read_table
 
 # Fixed values of the test fixture ------------------------------------------
@@ -76,7 +77,7 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def prices(spark: SparkSession) -> DataFrame:
     rows = [(sku, start, end, Decimal(price)) for sku, start, end, price in PRICE_ROWS]
-    raw = spark.createDataFrame(rows, "sku_name string, s string, e string, price decimal(18,2)")
+    raw = local_frame(spark, rows, "sku_name string, s string, e string, price decimal(18,2)")
     return raw.select(
         "sku_name",
         F.to_timestamp("s").alias("price_start_time"),
@@ -116,7 +117,7 @@ def rate_card(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fleet_aliases(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FLEET_ALIAS_ROWS, S.FLEET_ALIASES)
+    return local_frame(spark, FLEET_ALIAS_ROWS, S.FLEET_ALIASES)
 
 
 def _inventory_base(spark: SparkSession, sf_dir: str) -> DataFrame:
