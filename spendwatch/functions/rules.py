@@ -100,6 +100,9 @@ class ExclusionRules:
     def creators_frame(self, spark: SparkSession) -> DataFrame:
         return local_frame(spark, [(c,) for c in dict.fromkeys(self.creators)], "rule_creator string")
 
+    def patterns_frame(self, spark: SparkSession) -> DataFrame:
+        return local_frame(spark, list(enumerate(self.name_patterns)), "rule_order long, pattern string")
+
     def to_frame(self, spark: SparkSession) -> DataFrame:
         rows = ([("id", v) for v in self.ids] + [("name_glob", v) for v in self.name_patterns]
                 + [("creator", v) for v in self.creators])

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from spendwatch.functions.columns import (
     driver_type, fmt_grouped, fmt_plain, is_photon, log_z, py_bool, py_str, worker_count)
-from spendwatch.functions.rules import INLINE_LIST_MAX, ExclusionRules
+from spendwatch.functions.rules import INLINE_GLOBS, INLINE_LIST_MAX, ExclusionRules
+from spendwatch.operators import globs
 from spendwatch.operators.baseline import attach_baseline, baseline_latest
 from spendwatch.operators.joins import broadcast_if_fits, broadcast_if_known_small
 from spendwatch.operators.pricing import rates_with_fallback, sku_by_photon
@@ -28,8 +29,9 @@ def exclusion_reason(inv: DataFrame, rules: ExclusionRules, p: Params) -> DataFr
     order id, name patterns (list order), creator; NULL when none matches.
 
     Id and creator lists are joined (broadcast behind a size check, a left
-    join per list, so list length is not limited); name globs become one
-    folded expression.  The inventory is never shuffled.
+    join per list, so list length is not limited); a few name globs become one
+    folded expression, more are looked up by ``globs.first_matching`` (a stream
+    keeps the expression).  The inventory is not shuffled for a side that fits.
     """
     spark = inv.sparkSession
     out = inv
@@ -51,9 +53,15 @@ def exclusion_reason(inv: DataFrame, rules: ExclusionRules, p: Params) -> DataFr
     if rules.creators:
         creator_reason = F.when(member(rules.creators, "creator_user_name", "rule_creator"),
                                 F.concat(F.lit("creator "), F.col("creator_user_name"), F.lit(" in exclusion rules")))
-    reason = F.coalesce(id_reason, rules.name_reason(F.col("cluster_name")), creator_reason)
-    out = out.withColumn("excluded_reason", reason)
-    return out.drop(*[c for c in ("rule_id", "rule_creator") if c in out.columns])
+    if len(rules.name_patterns) > INLINE_GLOBS and not inv.isStreaming:
+        found = globs.first_matching(inv, "cluster_name", rules.patterns_frame(spark))
+        found = found.select(F.col("name").alias("rule_name"), F.col("pattern").alias("rule_pattern"))
+        out = out.join(broadcast_if_fits(found, p.broadcast_max_rows), F.col("cluster_name") == F.col("rule_name"), "left")
+        name_reason = F.concat(F.lit("cluster_name matches pattern '"), F.col("rule_pattern"), F.lit("'"))
+    else:
+        name_reason = rules.name_reason(F.col("cluster_name"))
+    out = out.withColumn("excluded_reason", F.coalesce(id_reason, name_reason, creator_reason))
+    return out.drop(*[c for c in ("rule_id", "rule_creator", "rule_name", "rule_pattern") if c in out.columns])
 
 
 def _rate_lookup(df: DataFrame, rates: DataFrame, node_col: str, prefix: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendwatch.functions.columns import money, photon_flag
-from spendwatch.functions.rules import INLINE_LIST_MAX, ExclusionRules
+from spendwatch.functions.rules import INLINE_GLOBS, INLINE_LIST_MAX, ExclusionRules
+from spendwatch.operators import globs
 from spendwatch.operators.joins import broadcast_if_fits, broadcast_if_known_small, price_join
 from spendwatch.params import BROADCAST_MAX_ROWS, Params
 
@@ -51,8 +52,13 @@ def _history_matches(rules: ExclusionRules, history: DataFrame, max_rows: int) -
     """Clusters of which any recorded version matches a name or creator rule.
     De-duplicated map-side before the shuffle: a cluster with very many
     versions is not a hot key."""
-    hit = rules.name_matches(F.col("cluster_name"))
     hist = history.select(*KEYS, "cluster_name", "owned_by")
+    if len(rules.name_patterns) > INLINE_GLOBS:
+        found = globs.first_matching(history, "cluster_name", rules.patterns_frame(history.sparkSession)).select(F.col("name").alias("rule_name"))
+        hist = hist.join(broadcast_if_fits(found, max_rows), F.col("cluster_name") == F.col("rule_name"), "left")
+        hit = F.col("rule_name").isNotNull()
+    else:
+        hit = rules.name_matches(F.col("cluster_name"))
     if 0 < len(rules.creators) <= INLINE_LIST_MAX:  # a hash-set lookup inside the generated code
         hit = hit | F.coalesce(F.col("owned_by").isin(*rules.creators), F.lit(False))
     elif rules.creators:

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from spendwatch import schemas as S
 from spendwatch.functions.columns import driver_type, is_photon, photon_flag, worker_count
-from spendwatch.operators import alerts, backtest, baseline, pricing, published, replay, scoring, sinks, usage
+from spendwatch.operators import alerts, backtest, baseline, globs, pricing, published, replay, scoring, sinks, usage
 from spendwatch.plans import streams
 from spendwatch.plans.inputs import Inputs, older
 from spendwatch.session import scratch_path, written
 from spendwatch.sources import fixtures as fx
-from spendwatch.sources.readers import rate_card_scan, write_json_lines
+from spendwatch.sources.readers import rate_card_scan, write_json_arrays, write_json_lines
 
 U, B, SC, AL = fx.USAGE_PARAMS, fx.BACKTEST_PARAMS, fx.SCORING_PARAMS, fx.ALERT_PARAMS
 
@@ -100,6 +100,10 @@ def q_rate_card_scan(i: Inputs) -> DataFrame:
     return rate_card_scan(i.spark, path, multi_line=False)
 
 
+def q_rate_card_array(i: Inputs) -> DataFrame:
+    return rate_card_scan(i.spark, write_json_arrays(i.card, scratch_path(i.spark, "rate-card-arrays")))
+
+
 def q_rate_card_all_purpose(i: Inputs) -> DataFrame:
     return pricing.all_purpose(i.card)
 
@@ -169,6 +173,11 @@ def q_exclusion_reasons(i: Inputs) -> DataFrame:
                      F.col("excluded_reason").alias("reason")).distinct()
 
 
+def q_glob_exclusions(i: Inputs) -> DataFrame:
+    """Every recorded cluster name against a rule table of its own size."""
+    return globs.first_matching(i.history, "cluster_name", fx.glob_rules(i.spark, i.sf_dir)).withColumnRenamed("name", "cluster_name")
+
+
 def q_score_reasons(i: Inputs) -> DataFrame:
     return count_by(_scored(i), "signal", "reason")
 
@@ -180,6 +189,15 @@ def q_cluster_scores(i: Inputs) -> DataFrame:
     return r6(_scored(i), *SCORE_DOUBLES)
 
 
+def q_scores_of_one_cloud(i: Inputs) -> DataFrame:
+    """FL9: rates of a second cloud, at ten times the price, change nothing."""
+    rates = i.rates_table(SC)
+    dearer = [(F.col(c) * 10).alias(c) if c in ("dbu_per_hour", "dollars_per_dbu", "dollars_per_hour") else F.lit("GCP").alias(c) if c == "cloud"
+              else F.col(c) for c in rates.columns]
+    both = rates.unionByName(rates.select(*dearer))
+    return count_by(scoring.score_inventory(i.inventory, both, i.baseline_table(SC), i.rules, SC), "signal", "reason")
+
+
 def q_signal_summary(i: Inputs) -> DataFrame:
     return scoring.signal_summary(_scored(i))
 
@@ -281,6 +299,10 @@ def q_backtest_results(i: Inputs) -> DataFrame:
     return r6(i.backtest(B), "z_score")
 
 
+def q_backtest_z_only(i: Inputs) -> DataFrame:
+    return r6(i.backtest(fx.Z_ONLY_PARAMS), "z_score")
+
+
 def q_cluster_meta_latest(i: Inputs) -> DataFrame:
     return backtest.latest_meta(i.history)
 
@@ -374,6 +396,14 @@ def q_stream_suppression(i: Inputs) -> DataFrame:
               "projected_daily_dollars")
 
 
+def q_stream_hourly_complete(i: Inputs) -> DataFrame:
+    return dbl(streams.hourly_with_corrections(i, B), "dbus", "dollars")
+
+
+def q_stream_resolved(i: Inputs) -> DataFrame:
+    return streams.resolved_from_scores(i, fx.RESOLVE_PARAMS)
+
+
 def q_stream_sends(i: Inputs) -> DataFrame:
     return streams.sends_from_history(i, AL).select("workspace_id", "cluster_id", "signal", F.col("snapshot_ts").alias("sent_at"))
 

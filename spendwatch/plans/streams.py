@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from spendwatch.operators.alerts import ALERT_SIGNALS
 from spendwatch.operators.sinks import read_or_empty
 from spendwatch.params import Params
-from spendwatch.schemas import ALERT_COLUMNS
-from spendwatch.streaming import hourly, scores, suppression
-from spendwatch.streaming.common import run_available_now, stream_dirs
+from spendwatch.schemas import ALERT_COLUMNS, CLUSTER_SCORES
+from spendwatch.streaming import hourly, resolve, scores, suppression
+from spendwatch.streaming.common import run_available_now, stream_dirs, write_epoch
 
 FILES = 5  # per arrival
 
@@ -45,7 +45,7 @@ def scores_from_inventory(inputs, p: Params) -> DataFrame:
     for k in range(2):
         _arrive(inputs.inventory.where(half == k), src)
         run_available_now(scores.stream_scores(spark, src, rates, base, inputs.rules, p, out, ckpt, partition_by_date=False))
-    return spark.read.parquet(out)
+    return scores.read_stream_scores(spark, out)
 
 
 def suppression_from_alerts(inputs, p: Params) -> DataFrame:
@@ -54,7 +54,7 @@ def suppression_from_alerts(inputs, p: Params) -> DataFrame:
     spark = inputs.spark
     src, out, ckpt = stream_dirs(spark, "stream-alerts")
     log_path = f"{out}/send_log"
-    suppression.write_epoch(inputs.send_log(p), log_path, -1)
+    write_epoch(inputs.send_log(p), log_path, -1)
     alerts = inputs.alerts(p)
     baseline = inputs.baseline()
     half = F.pmod(F.xxhash64("workspace_id", "cluster_id"), F.lit(2))
@@ -74,3 +74,31 @@ def sends_from_history(inputs, p: Params) -> DataFrame:
         _arrive(alerts.where((F.col("snapshot_ts") >= lo) & (F.col("snapshot_ts") < hi)), src)
         run_available_now(suppression.stream_sends(spark, src, alerts.schema, out, p, ckpt))
     return read_or_empty(spark, out, alerts.schema)
+
+
+def hourly_with_corrections(inputs, p: Params) -> DataFrame:
+    """Usage in two arrivals, the second with a twentieth of the first one's days, now
+    late: what the stream emitted, corrected from the ledger."""
+    spark = inputs.spark
+    src, out, ckpt = stream_dirs(spark, "stream-hourly-complete")
+    excluded = inputs.excluded_keys(p)
+    early = F.col("usage_date") < F.lit("2024-01-16").cast("date")
+    late = F.pmod(F.xxhash64("usage_metadata.cluster_id", "usage_start_time"), F.lit(20)) == 0
+    for part in (early & ~late, ~early | late):
+        _arrive(inputs.usage.where(part), src)
+        run_available_now(hourly.stream_hourly(spark, src, inputs.prices, excluded, p, out, ckpt))
+        run_available_now(hourly.stream_ledger(spark, src, inputs.prices, excluded, p, f"{out}-ledger", f"{ckpt}-ledger"))
+    emitted = spark.read.parquet(out)
+    return hourly.corrected(emitted, hourly.corrections(spark.read.parquet(f"{out}-ledger"), emitted))
+
+
+def resolved_from_scores(inputs, p: Params) -> DataFrame:
+    """All scored snapshots in three arrivals, by time, each a run of its own; the ends of their alerts."""
+    spark = inputs.spark
+    src, out, ckpt = stream_dirs(spark, "stream-resolved")
+    rows = inputs.scores().select(*[c.name for c in CLUSTER_SCORES.fields])
+    cuts = ["1900-01-01", "1997-03-01", "1999-07-01", "2200-01-01"]
+    for lo, hi in zip(cuts, cuts[1:]):
+        _arrive(rows.where((F.col("snapshot_ts") >= lo) & (F.col("snapshot_ts") < hi)), src)
+        run_available_now(resolve.stream_resolved(spark, src, rows.schema, out, p, ckpt))
+    return spark.read.parquet(out)

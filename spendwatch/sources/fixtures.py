@@ -223,3 +223,18 @@ ALERT_PARAMS = SCORING_PARAMS.replace(
     as_of=dt.datetime(1998, 6, 1, 12, 0), alert_recency=dt.timedelta(days=90),
     warning_suppression_hours=960, critical_suppression_hours=480,
     routing_mode="dm_with_fallback", alert_channel="#cost-alerts")
+
+# Alerts that go silent or recover often enough to tell.
+RESOLVE_PARAMS = ALERT_PARAMS.replace(alert_recency=dt.timedelta(days=10))
+# The replay without the budget rule, where days can be missed.
+Z_ONLY_PARAMS = BACKTEST_PARAMS.replace(use_budget_rule=False)
+
+
+def glob_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """rule_order, pattern: a rule table that grows with the data, one glob per customer in five shapes."""
+    key = F.col("c_custkey")
+    digits = F.lpad(F.pmod(key, F.lit(1000)).cast("string"), 3, "0")
+    shapes = F.when(key % 5 == 0, F.concat(F.lit("*-"), key)).when(key % 5 == 1, F.concat(F.lit("?-urgent-"), key, F.lit("?"))) \
+        .when(key % 5 == 2, F.concat(F.lit("[1-3]-*"), digits, F.lit("*"))).when(key % 5 == 3, F.concat(F.lit("5-[!l]*-"), key, F.lit("[")))
+    return read_table(spark, sf_dir, "customer").select(
+        (F.pmod(key * 7919, F.lit(1_000_003))).alias("rule_order"), shapes.otherwise(F.concat(F.lit("*gh-?"), digits)).alias("pattern"))

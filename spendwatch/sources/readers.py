@@ -30,3 +30,12 @@ def rate_card_scan(spark: SparkSession, path: str, multi_line: bool = True) -> D
 def write_json_lines(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").json(path)
     return path
+
+
+def write_json_arrays(df: DataFrame, path: str, files: int = 16) -> str:
+    """The rows as ``files`` files of one JSON array each, the published form of
+    the rate card (a bounded table; an array is written by one task)."""
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(files)).alias("part")
+    arrays = df.groupBy(part).agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    arrays.write.mode("overwrite").partitionBy("part").text(path)
+    return path

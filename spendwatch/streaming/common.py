@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import contextlib
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spendwatch.session import scratch_path
@@ -32,3 +34,9 @@ def keyed_state(spark):
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
+    """A batch's rows under its own epoch; a repeated batch replaces them."""
+    (df.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))

@@ -30,7 +30,7 @@ from spendwatch.operators import alerts as A
 from spendwatch.operators.sinks import read_send_log
 from spendwatch.params import Params
 from spendwatch.session import workers_import
-from spendwatch.streaming.common import keyed_state
+from spendwatch.streaming.common import keyed_state, write_epoch
 
 KEYS = ["workspace_id", "cluster_id", "signal"]
 AT = "decided_at"
@@ -40,11 +40,6 @@ def read_log(spark: SparkSession, log_path: str) -> DataFrame:
     return read_send_log(spark, log_path).select(*[f.name for f in S.SEND_LOG.fields])
 
 
-def write_epoch(df: DataFrame, path: str, epoch_id: int) -> None:
-    (df.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
-
-
 class LastSend(StatefulProcessor):
     """Lets an alert pass unless its key's last send is within the tier's window."""
 
