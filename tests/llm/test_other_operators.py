@@ -256,7 +256,7 @@ def test_toxicity_without_labels_or_documents(spark):
 
 
 def test_every_operator_has_its_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))
 
 
 def test_neighbours_are_taken_over_whole_vectors(spark):
@@ -273,6 +273,8 @@ def test_neighbours_are_taken_over_whole_vectors(spark):
     assert all(out[i].n_neighbours >= 7 for i in held)
     assert out[900].top_cosine == pytest.approx(1, abs=1e-5) and out[901].n_neighbours == 0
     # Every word counts, also those that one example alone has.
+    assert out[900].evidence_ids[0] == ids[0] and out[901].evidence_ids == []
+    assert all(set(r.evidence_ids) <= set(ids) and r.evidence_cosines == sorted(r.evidence_cosines, reverse=True) for r in out.values())
     assert out[900].n_neighbours >= 7 and out[ids[1]].top_cosine == pytest.approx(1, abs=1e-5)
 
 
