@@ -1,6 +1,9 @@
 import gzip
+import math
 import random
+import re
 import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -85,6 +88,82 @@ def test_templates_with_mostly_blocked_examples_are_rejected(spark):
     assert rows["http://shop.example/tag/a/x"].verdict == "allow"
 
 
+def templates_by_hand(urls, rules):
+    """Verdict, template and purity of each url, tree by tree."""
+    def rule(host, path):
+        fits = [(len(h + p), v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[1] if fits else None
+
+    rows = []
+    for u in urls:
+        host, path, _ = rule_by_hand(u)
+        segs = [re.sub(r"\.[A-Za-z]{2,5}$", "", x) for x in path.split("/") if x]
+        form = tuple("*" if re.search(r"[0-9]|^[0-9a-fA-F-]{16,}$|^.{40,}$", x) else x for x in segs)[:8]
+        rows.append((host, rule(host, path), form))
+    shape = {(h, f): f for h, _, f in rows}
+    deepest = max((len(f) for f in shape.values()), default=0)
+    for depth in range(deepest):
+        kinds = defaultdict(Counter)
+        for h, _, f in rows:
+            if len(f) > depth:
+                kinds[h, shape[h, f][:depth]][shape[h, f][depth]] += 1
+        wide = {k for k, c in kinds.items() if len(c) > 16 and len(c) * 4 > sum(c.values())}
+        shape = {(h, f): s[:depth] + ("*",) + s[depth + 1:] if len(s) > depth and (h, s[:depth]) in wide else s for (h, f), s in shape.items()}
+    for depth in range(deepest):
+        cells = defaultdict(Counter)
+        for h, _, f in rows:
+            s = shape[h, f]
+            if len(s) > depth and s[depth] != "*":
+                cells[h, s[:depth]][s[depth], s[depth + 1:]] += 1
+        names = {}
+        for node, c in cells.items():
+            pool, own = Counter(), Counter()
+            for (child, tail), n in c.items():
+                pool[tail] += n
+                own[child] += n
+            total, df = sum(pool.values()), len(pool) - 1
+            limit = df * (1 - 2 / (9 * df) + 2.326 * math.sqrt(2 / (9 * df))) ** 3 if df else 0
+            alike = sorted(x for x in own if sum((c[x, t] - own[x] * pool[t] / total) ** 2 / (own[x] * pool[t] / total) for t in pool) <= limit + 1e-6)
+            if len(alike) > 1:
+                names |= {(node, x): alike[0] + "+" for x in alike}
+        shape = {(h, f): s[:depth] + (names.get(((h, s[:depth]), s[depth]), s[depth]),) + s[depth + 1:] if len(s) > depth else s for (h, f), s in shape.items()}
+    seen = defaultdict(Counter)
+    for h, v, f in rows:
+        for k in range(1, len(shape[h, f]) + 1):
+            seen[h, shape[h, f][:k]][v] += 1
+    out = []
+    for h, v, f in rows:
+        s = shape[h, f]
+        found = [c for k in range(len(s), 0, -1) if (c := seen[h, s[:k]])["block"] + c["allow"]]
+        purity = (found[0]["block"] + 1) / (found[0]["block"] + found[0]["allow"] + 2) if found else None
+        out.append((v or ("block" if purity is not None and purity >= 0.8 else "allow"), "/" + "/".join(s), purity))
+    return out
+
+
+def test_templates_and_purities_equal_a_tree_by_hand(spark):
+    rng = random.Random(12)
+    rules = [("block", "a.com", "/de/"), ("block", "a.com", "/shop/spam"), ("allow", "a.com", "/news/"), ("block", "b.org", "/x/y/"), ("allow", "b.org", "/x/z")]
+    words = ["de", "en", "shop", "news", "x", "y", "z", "spam", "item", "2024", "a7", "index.html"]
+    urls = [f"http://{rng.choice(['a.com', 'm.a.com', 'b.org', 'c.net'])}/" + "/".join(rng.choice(words) for _ in range(rng.randrange(5))) for _ in range(600)]
+    urls += [f"http://a.com/tag/{''.join(rng.choice('abcdef') for _ in range(4))}/x" for _ in range(40)] + [f"http://a.com/{lang}/{k}" for lang in ("de", "en", "fr") for k in range(9)]
+    urls += ["http://a.com/" + "/".join(["deep"] * 30), None, "http://a.com", "http://a.com//"]
+    pages = spark.createDataFrame([(i, u, "v", 0.5, ["s"]) for i, u in enumerate(urls)], "page_id long, url string, verdict string, purity double, form array<string>")
+    got = sorted((r.page_id, r.verdict, r.template, r.purity) for r in url_filter.judge(pages, rules).collect())
+    want = templates_by_hand(urls, rules)
+    assert [(v, t) for _, v, t, _ in got] == [(v, t) for v, t, _ in want]
+    assert all((g is None) == (w is None) and (g is None or abs(g - w) < 1e-12) for (*_, g), (*_, w) in zip(got, want))
+    assert {v for (v, _, p) in want if p is not None} == {"block", "allow"}
+
+
+def test_the_query_judges_urls_without_a_rule_by_evidence(spark):
+    rows = url_filter.judge(table(spark, SF_MID, "pages")).collect()
+    free = [r for r in rows if r.rule is None]
+    assert sum(r.purity is not None for r in free) > 0.3 * len(free) and {r.verdict for r in free} == {"block", "allow"}
+    urls = {r.page_id: r.url for r in table(spark, SF_MID, "pages").collect()}
+    want = templates_by_hand([urls[r.page_id] for r in rows], url_filter.RULES)
+    assert [(r.verdict, r.template) for r in rows] == [(v, t) for v, t, _ in want]
+
+
 # --- warc ------------------------------------------------------------------
 
 def test_round_trip_with_magic_inside_payloads(spark):
