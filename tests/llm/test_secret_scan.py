@@ -93,3 +93,41 @@ def test_redaction_equals_cutting_the_reported_spans(spark):
             expected += text[at:a] + "[SECRET]" if a >= at else ""
             at = max(at, b)
         assert r.text == expected + text[at:]
+
+
+WORDS = ("the quick brown fox module path with many parts some library name index config value server client handler utils common "
+         "data request response manager service factory builder account invoice").split()
+
+
+def ordinary(rng):
+    """Paths, identifiers, slugs and constants of 20 characters or more."""
+    while True:
+        kind, pick = rng.randrange(4), [rng.choice(WORDS) for _ in range(6)]
+        text = ("/".join(pick), "".join(w.capitalize() for w in pick[:5]) + str(rng.randrange(10)), "-".join(pick[:5]) + f"-{rng.randrange(2100)}",
+                "_".join(w.upper() if rng.random() < 0.3 else w for w in pick[:5]) + f"/v{rng.randrange(9)}")[kind]
+        if len(text) >= 20:
+            return text[:rng.choice([28, 34, 60])]
+
+
+def test_recall_by_length_and_neighbours(spark):
+    """A random key among ordinary tokens of the same document."""
+    rng = random.Random(21)
+    alphabets = [string.ascii_letters + string.digits + "+/", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEF"]
+    cases, texts = [], []
+    for length, many in ((20, 0), (20, 100), (32, 0), (32, 1), (32, 20), (32, 100), (40, 20), (40, 100), (64, 100)):
+        for k in range(60):
+            key = "".join(rng.choice(alphabets[k % 3]) for _ in range(length))
+            tokens = [ordinary(rng) for _ in range(many)]
+            place = rng.randrange(many + 1)
+            before = " ".join(tokens[:place]) + (" " if place else "")
+            texts.append(before + key + "".join(" " + t for t in tokens[place:]))
+            cases.append(((length, many), f"random:{len(before)}:{len(before) + length}"))
+    rows = {r.doc_id: r.spans.split(",") for r in secret_scan.report(frame(spark, texts)).collect()}
+    hits, wrong, others = {}, 0, 0
+    for i, ((length, many), span) in enumerate(cases):
+        hits.setdefault((length, many), []).append(span in rows[i])
+        wrong += sum(s.startswith("random") and s != span for s in rows[i])
+        others += many
+    for (length, many), found in hits.items():
+        assert sum(found) >= (0.9 if length >= 32 else 0.65) * len(found), (length, many, sum(found))
+    assert wrong <= 0.05 * others
