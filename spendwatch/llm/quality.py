@@ -30,6 +30,7 @@ SPACE = r"\x20\x09-\x0D"
 RISK = 0.005
 ERROR = 0.05
 LEVELS = 32
+SALTS = 64
 LEAST_YIELD = 9  # bad documents that a cutoff must reject for each good one
 # rule: (statistic, least cutoff, greatest cutoff); cutoffs are LEVELS equal steps.
 RULES = {
@@ -131,6 +132,9 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, error: float =
     chosen = cutoffs(measured, labels, risk, error).groupBy("lang").agg(
         *[F.min(F.when(F.col("rule") == r, F.col("level"))).alias(f"cut_{r}") for r in RULES])
     rejected = F.coalesce(*[F.when(_level(r) >= F.col(f"cut_{r}"), F.lit(r)) for r in RULES])
-    out = measured.join(chosen, "lang", "left").withColumn("rejected_by", rejected)
+    # A language may hold a third of the documents: its cutoffs are joined salted.
+    salted = chosen.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    out = measured.withColumn("salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int"))
+    out = out.join(salted, ["lang", "salt"], "left").withColumn("rejected_by", rejected)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       (~F.col("base_failed") & F.col("rejected_by").isNull()).alias("kept"), "rejected_by")
