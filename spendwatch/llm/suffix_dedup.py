@@ -21,11 +21,16 @@ each many times, so the work is narrowed first, without losing a match:
 
 An anchor with more than ``HOT`` segments (the edge of a passage that very many
 documents share) is compared window by window instead, under the window's own
-hash, after each chunk has kept the least document of every window: no group
-grows with the number of documents that share a string.
+hash, after each chunk has kept the least document of every window.  Anchors
+that a sample of the windows finds in more than ``HOT_ENTRIES`` segments are so
+compared from the start, and their segments are dealt by segment instead of by
+anchor, so that no bucket has to hold them all.  What still meets in one place
+is a string's one entry for each chunk of ``CHUNK_BYTES`` that has it.
 
 Defined cases: a null text is empty; documents with equal ids do not remove
 each other's text; a null doc_id counts as the largest; shorter texts keep all.
+A chunk's number is its place in the input, so ``docs`` should be a table (or a
+written stage) that is read alike when a lost task is repeated.
 """
 
 from __future__ import annotations
@@ -36,11 +41,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spendwatch.llm import shingles as sh
-from spendwatch.llm.common import grouped, stage, trimmed
+from spendwatch.llm.common import grouped, stage, trimmed, workers_import
 from spendwatch.session import scratch_path
 
 LENGTH, GRAM = 50, 24
@@ -48,6 +55,9 @@ CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 16 << 20
 PART_ROWS = 20_000
 HOT = 5_000
+HOT_ENTRIES = 20_000
+MAX_HOT_ANCHORS = 1_000_000  # of 8 bytes each, sent to the workers
+SAMPLE = 16  # one document and one segment of so many is looked at for hot anchors
 NO_ID = np.iinfo(np.int64).max
 _SLICE = 1 << 22
 _U = np.uint64
@@ -203,10 +213,27 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return (*out, np.searchsorted(offsets, out[2], side="right") - 1)
 
 
+def _among(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    if among.size == 0:
+        return np.zeros(values.size, bool)
+    return among[np.minimum(np.searchsorted(among, values), among.size - 1)] == values
+
+
+def _sampled_anchors(ids: np.ndarray, blob: bytes, lengths: np.ndarray, sample: int) -> np.ndarray:
+    """The anchor of one of ``sample`` distinct segments, in one of ``sample`` documents."""
+    places = sh.mix(ids.astype(_U) + np.arange(ids.size, dtype=_U) * _U(0x9E3779B97F4A7C15))
+    chosen = np.flatnonzero(places % _U(sample) == 0)
+    start = np.concatenate([[0], np.cumsum(lengths)])
+    data = np.frombuffer(b"".join(blob[start[d]:start[d + 1]] for d in chosen), np.uint8)
+    key, seg, *_ = segments(data, np.concatenate([[0], np.cumsum(lengths[chosen])]))
+    both, index = np.unique(sh.mix(key ^ sh.mix(seg + _U(0x51ED270B))), return_index=True)
+    return key[index[both % _U(sample) == 0]]
+
+
 class Chunk:
     """A chunk's documents with their segments; rebuilt alike in every pass."""
 
-    def __init__(self, ids: bytes, lengths: bytes, blob: bytes, buckets: int):
+    def __init__(self, ids: bytes, lengths: bytes, blob: bytes, buckets: int, hot: np.ndarray):
         self.ids = np.frombuffer(ids, np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(np.frombuffer(lengths, np.int64))])
         self.data = np.frombuffer(blob, np.uint8)
@@ -219,7 +246,9 @@ class Chunk:
         number[rank] = np.arange(rank.size)
         self.entry_of, self.entry = number[self.entry_of], index[rank]
         self.seg = seg
-        self.bucket = (self.key[self.entry] % _U(buckets)).astype(np.int64)
+        # Anchors go to one bucket, those of the sorted ``hot`` by segment to all.
+        anchor = self.key[self.entry]
+        self.bucket = (np.where(_among(anchor, hot), both[self.entry], anchor) % _U(buckets)).astype(np.int64)
 
     def by_bucket(self) -> Iterator[tuple[int, np.ndarray]]:
         order = np.argsort(self.bucket, kind="stable")
@@ -255,36 +284,61 @@ class Chunk:
 
 # --- passes -----------------------------------------------------------------
 
-def _chunks(docs: DataFrame) -> DataFrame:
-    """chunk, n_bytes, ids, lengths, blob: documents by id within a chunk; bucketed by chunk in the shared folder."""
+def _chunks(docs: DataFrame, total: int, sample: int) -> DataFrame:
+    """chunk, n_bytes, ids, lengths, blob, anchors (a sample): documents by id within a chunk;
+    bucketed by chunk in the shared folder, about BUCKET_BYTES of the ``total`` bytes a bucket."""
     spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             data, offsets = sh.text_bytes(batch.column(1))
             ids = batch.column(0).cast(pa.int64()).fill_null(NO_ID).to_numpy(zero_copy_only=False)
             for i, j in sh.sub_batches(offsets, CHUNK_BYTES):
                 order = np.argsort(ids[i:j], kind="stable") + i
                 blob = b"".join(data[offsets[d]:offsets[d + 1]].tobytes() for d in order)
+                lengths = np.diff(offsets)[order]
+                anchors = _sampled_anchors(ids[order], blob, lengths, sample)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([len(blob)], pa.int64()), pa.array([ids[order].tobytes()], pa.binary()),
-                    pa.array([np.diff(offsets)[order].tobytes()], pa.binary()), pa.array([blob], pa.binary())],
-                    names=["chunk", "n_bytes", "ids", "lengths", "blob"])
+                    pa.array([number], pa.int64()), pa.array([len(blob)], pa.int64()), pa.array([ids[order].tobytes()], pa.binary()),
+                    pa.array([lengths.tobytes()], pa.binary()), pa.array([blob], pa.binary()), pa.array([anchors.tobytes()], pa.binary())],
+                    names=["chunk", "n_bytes", "ids", "lengths", "blob", "anchors"])
+                number += 1
 
-    laid = trimmed(docs, "doc_id", "text").mapInArrow(run, "chunk long, n_bytes long, ids binary, lengths binary, blob binary")
+    laid = trimmed(docs, "doc_id", "text").mapInArrow(
+        run, "chunk long, n_bytes long, ids binary, lengths binary, blob binary, anchors binary")
     name = f"llm_chunks_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (laid.write.format("parquet").bucketBy(buckets, "chunk").option("compression", "zstd")
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    buckets = max(1, min(most, -(-total // BUCKET_BYTES)))
+    # Dealt like the buckets first: one file a bucket, whatever the number of tasks.
+    (laid.repartition(buckets, "chunk").write.format("parquet").bucketBy(buckets, "chunk").option("compression", "zstd")
      .option("path", scratch_path(spark, "llm-suffix-chunks")).saveAsTable(name))
-    return spark.table(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the catalog's entry only; the files are read by their path
+    return out
+
+
+def _hot_anchors(chunks: DataFrame, sample: int, hot_entries: int) -> np.ndarray:
+    """Sorted anchors that the sample finds in more than ``hot_entries`` segments, or in more than
+    one of MAX_HOT_ANCHORS of all segments: so there are no more than MAX_HOT_ANCHORS of them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, np.int64))], names=["anchor"])
+
+    seen = chunks.select("anchors").mapInArrow(run, "anchor long")
+    total = chunks.agg(F.sum(F.length("anchors")).alias("n")).first()["n"] or 0
+    least = max(hot_entries // sample ** 2, total // 8 // MAX_HOT_ANCHORS)
+    hot = seen.groupBy("anchor").count().where(F.col("count") > least).select("anchor").toArrow()
+    return np.sort(hot.column(0).to_numpy().astype(np.int64).view(_U))
 
 
-def _send(chunks: DataFrame, buckets: int) -> DataFrame:
+def _send(chunks: DataFrame, buckets: int, hot: Broadcast) -> DataFrame:
     """bucket, chunk, n, keys, segs, ids: each chunk's distinct segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, ids, lengths, blob in zip(*(batch.column(c).to_pylist() for c in range(4))):
-                c = Chunk(ids, lengths, blob, buckets)
+                c = Chunk(ids, lengths, blob, buckets, hot.value)
                 key, seg, doc = c.key[c.entry], c.seg[c.entry], c.ids[c.doc[c.entry]]
                 rows = [(b, chunk, (key[e] >> _U(32)).astype(np.uint32).tobytes(), seg[e].tobytes(),
                          zlib.compress(np.diff(doc[e], prepend=0).tobytes(), 1)) for b, e in c.by_bucket()]
@@ -296,9 +350,10 @@ def _send(chunks: DataFrame, buckets: int) -> DataFrame:
         run, "bucket long, chunk long, keys binary, segs binary, ids binary")
 
 
-def _answer(sent: DataFrame) -> DataFrame:
+def _answer(sent: DataFrame, hot: Broadcast) -> DataFrame:
     """chunk, bucket, states, n_open: per distinct segment 0 keep, 1 remove, 2 compare, 3 compare window by window."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known_hot = np.unique((hot.value >> _U(32)).astype(np.uint32))
         for group in grouped(batches, "bucket"):
             key = np.concatenate([np.frombuffer(x, np.uint32) for x in group["keys"].to_pylist()])
             seg = np.concatenate([np.frombuffer(x, _U) for x in group["segs"].to_pylist()])
@@ -310,13 +365,13 @@ def _answer(sent: DataFrame) -> DataFrame:
             new_key = np.concatenate([[True], k[1:] != k[:-1]])
             new_seg = new_key | np.concatenate([[True], s[1:] != s[:-1]])
             seg_at, seg_no = np.flatnonzero(new_seg), np.cumsum(new_seg) - 1
-            state = (d > d[seg_at][seg_no]).astype(np.uint8)
-            # Anchors with several segments in several documents: compare the first occurrences.
+            # Anchors with several segments in several documents: compare the occurrences in the first document.
             key_at = np.flatnonzero(new_key[seg_at])
             count = np.diff(np.append(key_at, seg_at.size))
             apart = (np.maximum.reduceat(d[seg_at], key_at) > np.minimum.reduceat(d[seg_at], key_at)) & (count > 1)
             kind = np.where(apart, np.where(count > HOT, 3, 2), 0).astype(np.uint8)
-            state[seg_at] = np.repeat(kind, count)
+            kind[_among(k[seg_at][key_at], known_hot)] = 3  # its other segments are in other buckets
+            state = np.where(d > d[seg_at][seg_no], 1, np.repeat(kind, count)[seg_no]).astype(np.uint8)
             back = np.empty_like(state)
             back[order] = state
             parts = np.split(back, np.cumsum(size)[:-1])
@@ -330,12 +385,12 @@ def _answer(sent: DataFrame) -> DataFrame:
         run, "chunk long, bucket long, states binary, n_open long")
 
 
-def _texts(chunks: DataFrame, answers: DataFrame, buckets: int, parts: int) -> DataFrame:
+def _texts(chunks: DataFrame, answers: DataFrame, buckets: int, hot: Broadcast, parts: int) -> DataFrame:
     """part, key, doc_id, chunk, entry, number, text: what has to be compared."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, ids, lengths, blob, found in zip(*(batch.column(c).to_pylist() for c in range(5))):
-                c = Chunk(ids, lengths, blob, buckets)
+                c = Chunk(ids, lengths, blob, buckets, hot.value)
                 states = c.states(found)
                 entry = np.flatnonzero(states == 2)
                 at = c.entry[entry]
@@ -392,11 +447,11 @@ def _compare(texts: DataFrame) -> DataFrame:
     return texts.repartition("part").sortWithinPartitions("part").mapInArrow(run, "chunk long, entry int, bits long")
 
 
-def _cut(chunks: DataFrame, answers: DataFrame, compared: DataFrame, buckets: int) -> DataFrame:
+def _cut(chunks: DataFrame, answers: DataFrame, compared: DataFrame, buckets: int, hot: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, lengths, blob, found, entries, bits in zip(*(batch.column(c).to_pylist() for c in range(1, 7))):
-                c = Chunk(ids, lengths, blob, buckets)
+                c = Chunk(ids, lengths, blob, buckets, hot.value)
                 states = c.states(found)
                 local = c.doc > c.doc[c.entry[c.entry_of]]  # a smaller document of the chunk has the segment
                 local &= c.ids[c.doc] > c.ids[c.doc[c.entry[c.entry_of]]]
@@ -436,16 +491,18 @@ def _cut(chunks: DataFrame, answers: DataFrame, compared: DataFrame, buckets: in
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, hot_entries: int = HOT_ENTRIES, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (the remaining bytes)."""
-    chunks = _chunks(docs)
-    total = chunks.agg(F.sum("n_bytes").alias("n")).first()["n"] or 0
+    workers_import(docs.sparkSession)
+    total = trimmed(docs, "doc_id", "text").agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    answers = stage(_answer(_send(chunks, buckets)), "suffix-answers")
+    chunks = _chunks(docs, total, sample)
+    hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(chunks, sample, hot_entries))
+    answers = stage(_answer(_send(chunks, buckets, hot), hot), "suffix-answers")
     open_rows = answers.agg(F.sum("n_open").alias("n")).first()["n"] or 0
     parts = max(1, -(-open_rows // PART_ROWS))
-    compared = stage(_compare(_texts(chunks, answers, buckets, parts)), "suffix-compared")
-    return _cut(chunks, answers, compared, buckets)
+    compared = stage(_compare(_texts(chunks, answers, buckets, hot, parts)), "suffix-compared")
+    return _cut(chunks, answers, compared, buckets, hot)
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -76,5 +76,54 @@ def test_equals_brute_force(spark, monkeypatch, hot, chunk):
     assert got == sorted(brute(rows), key=order)
 
 
+@pytest.mark.parametrize("chunk", [sd.CHUNK_BYTES, 600])
+def test_anchors_dealt_by_segment_equal_brute_force(spark, monkeypatch, chunk):
+    monkeypatch.setattr(sd, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 4000)
+    rows = corpus(chunk, 120)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seen = {"hot": 0}
+    found = sd._hot_anchors
+    monkeypatch.setattr(sd, "_hot_anchors", lambda *a: seen.update(hot=(x := found(*a)).size) or x)
+    order = lambda r: tuple((x is None, str(x)) for x in r)
+    out = sd.remove_repeats(docs, hot_entries=3, sample=1)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest()) for r in out.collect()), key=order)
+    assert got == sorted(brute(rows), key=order)
+    assert seen["hot"] > 5
+
+
+def test_rows_that_repeat_an_id_are_cut_alike(spark, monkeypatch):
+    monkeypatch.setattr(sd, "CHUNK_BYTES", 150)
+    words = [f"word{k}" for k in range(40)]
+    base = " ".join(words)
+    rows = [(1, base), *[(5, "other " + base[:160] + f" end of it")] * 4, *[(None, "another " + base[30:200])] * 3]
+    out = [tuple(r) for r in sd.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()]
+    assert sorted(out, key=str) == sorted(brute(rows), key=str)
+
+
+def test_a_line_of_all_documents_bounds_the_largest_bucket(spark, monkeypatch):
+    """One line in otherwise different documents: its edges' anchors have a segment a document."""
+    monkeypatch.setattr(sd, "CHUNK_BYTES", 1 << 15)
+    monkeypatch.setattr(sd, "BUCKET_BYTES", 1 << 15)
+    rng = random.Random(3)
+    line = "all of these documents end or begin with the very same line of eighty five characters"
+    free = lambda: "".join(rng.choice("abcdefghij ") for _ in range(60))
+    rows = [(i, free() + line + free()) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    total = sum(len(t) for _, t in rows)
+    buckets = -(-total // sd.BUCKET_BYTES)
+    chunks = sd._chunks(docs, total, 4)
+
+    def largest(hot):
+        kept = spark.sparkContext.broadcast(hot)
+        sizes = sd._send(chunks, buckets, kept).selectExpr("bucket", "length(segs) / 8 as n").groupBy("bucket").sum("n").collect()
+        return max(r[1] for r in sizes), sum(r[1] for r in sizes) / buckets
+
+    plain, mean = largest(np.zeros(0, np.uint64))
+    split, _ = largest(sd._hot_anchors(chunks, 4, 500))
+    assert plain > 3 * mean
+    assert split < 2 * mean
+
+
 def test_empty_table(spark):
     assert sd.report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
