@@ -74,9 +74,23 @@ def baseline_latest(baselines: DataFrame) -> DataFrame:
     return newest.select("workspace_id", "_b.*")
 
 
-def _day_moments(values: DataFrame, value: str, prefix: str) -> list:
-    x = F.col(value)
-    return [F.avg(x).alias(f"{prefix}mean"), (F.var_pop(x) * F.count(x)).alias(f"{prefix}m2")]
+def _moments(value: Column, prefix: str) -> list[Column]:
+    return [F.avg(value).alias(f"{prefix}mean"), (F.var_pop(value) * F.count(value)).alias(f"{prefix}m2")]
+
+
+def day_moments(day_totals: DataFrame, p: Params, weekdays: bool | None = None) -> DataFrame:
+    """workspace_id, usage_date, n, raw_sum, raw_mean, raw_m2, log_mean, log_m2: each day's positive
+    cluster-day totals as moments; a day without any has n = 0, since it still is an as-of day."""
+    weekdays = (not p.weekend_baseline) if weekdays is None else weekdays
+    totals = weekdays_only(day_totals) if weekdays else day_totals
+    positive = F.col("daily_dollars") > 0
+    exact = F.col("daily_exact") if "daily_exact" in totals.columns else F.col("daily_dollars").cast("decimal(38,12)")
+    return totals.groupBy("workspace_id", "usage_date").agg(
+        F.count(F.when(positive, 1)).alias("n"),
+        F.sum(F.when(positive, exact)).alias("raw_sum"),
+        *_moments(F.when(positive, F.col("daily_dollars")), "raw_"),
+        *_moments(F.when(positive, F.ln("daily_dollars")), "log_"),
+    )
 
 
 def rolling_baseline(day_totals: DataFrame, p: Params, weekdays: bool | None = None) -> DataFrame:
@@ -84,26 +98,22 @@ def rolling_baseline(day_totals: DataFrame, p: Params, weekdays: bool | None = N
     positive cluster-day totals of days ``[D - N, D - 1]``.
 
     Instead of pairing every cluster-day with up to N as-of days, each day is
-    reduced to its moments ``(n, mean, M2)`` first; every day's moments are
-    copied to the N as-of days it serves (an equi-join on (workspace, day),
-    no range join), and merged with the parallel-variance rule
+    reduced to its moments ``(n, mean, M2)`` first; ``window_baselines`` merges them.
+    """
+    return window_baselines(day_moments(day_totals, p, weekdays), p)
+
+
+def window_baselines(moments: DataFrame, p: Params) -> DataFrame:
+    """The baseline of every day of ``moments`` from the N days before it.
+
+    Every day's moments are copied to the N as-of days it serves (an equi-join on
+    (workspace, day), no range join), and merged with the parallel-variance rule
     ``M2 = sum M2_i + sum n_i (mean_i - mean)^2``.  Exact for population
     variance; the work is days x N per workspace, independent of clusters.
     """
-    weekdays = (not p.weekend_baseline) if weekdays is None else weekdays
-    totals = weekdays_only(day_totals) if weekdays else day_totals
-    as_of_days = totals.select("workspace_id", F.col("usage_date").alias("as_of_date")).distinct()
-    pos = totals.where(F.col("daily_dollars") > 0).withColumn("log_dollars", F.ln("daily_dollars"))
-    if "daily_exact" not in pos.columns:
-        pos = pos.withColumn("daily_exact", F.col("daily_dollars").cast("decimal(38,12)"))
-    moments = pos.groupBy("workspace_id", "usage_date").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("daily_exact").alias("raw_sum"),
-        *_day_moments(pos, "daily_dollars", "raw_"),
-        *_day_moments(pos, "log_dollars", "log_"),
-    )
+    as_of_days = moments.select("workspace_id", F.col("usage_date").alias("as_of_date"))
     n_days = p.baseline_lookback_days
-    served = moments.withColumn(
+    served = moments.where(F.col("n") > 0).withColumn(
         "as_of_date",
         F.explode(F.sequence(F.date_add("usage_date", 1), F.date_add("usage_date", n_days))))
     pairs = served.join(as_of_days, ["workspace_id", "as_of_date"])

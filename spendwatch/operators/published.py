@@ -25,6 +25,7 @@ from __future__ import annotations
 import dataclasses
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,13 +110,16 @@ def _write(df: DataFrame, path: str, partition_by: str | None) -> str:
 
 def _read(spark: SparkSession, path: str, own: list[Part], schema: T.StructType) -> DataFrame:
     folders = [f"{path}/{VERSION}={p.version}" for p in own]
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField(VERSION, T.StringType())])).option("basePath", path).parquet(*folders)
+    needed = [T.StructField(VERSION, T.StringType())]
+    if RUN not in schema.names and any(p.without for p in own):
+        needed.append(T.StructField(RUN, T.StringType()))
+    rows = spark.read.schema(T.StructType([*schema.fields, *needed])).option("basePath", path).parquet(*folders)
     gone: Column | None = None
     for p in own:
         if p.without:
             these = (F.col(VERSION) == p.version) & F.col(RUN).isin(*p.without)
             gone = these if gone is None else gone | these
-    return (rows if gone is None else rows.where(~gone)).drop(VERSION)
+    return (rows if gone is None else rows.where(~gone)).drop(*[f.name for f in needed])
 
 
 def current(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -146,8 +150,10 @@ def _crowded(own: list[Part], fan: int) -> list[Part]:
     return []
 
 
-def append_run(df: DataFrame, path: str, run: str, partition_by: str | None = None, fan: int = FAN) -> None:
-    """SK2/SK3: the rows of ``run``, once however often it is repeated."""
+def append_run(df: DataFrame, path: str, run: str, partition_by: str | None = None, fan: int = FAN,
+               reduce: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """SK2/SK3: the rows of ``run``, once however often it is repeated.  ``reduce`` is applied to the
+    rows of runs that are merged, where a reader needs only some of them."""
     spark = df.sparkSession
     after = (_numbers(spark, path) or [0])[-1]
     held = _parts(spark, path, after) if after else []
@@ -162,7 +168,8 @@ def append_run(df: DataFrame, path: str, run: str, partition_by: str | None = No
     schema = df.schema
     own = [*kept, Part(_write(df, path, partition_by), 0, run, run)]
     while merged := _crowded(own, fan):
-        version = _write(_read(spark, path, merged, schema), path, partition_by)
+        rows = _read(spark, path, merged, schema)
+        version = _write(reduce(rows) if reduce else rows, path, partition_by)
         own = [p for p in own if p not in merged] + [
             Part(version, merged[0].level + 1, min(p.first for p in merged), max(p.last for p in merged))]
     _commit(spark, path, after, own)

@@ -4,6 +4,7 @@ doubles are rounded to 6 places on both sides."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.errors import PySparkException
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from spendwatch import schemas as S
 from spendwatch.functions.columns import driver_type, is_photon, photon_flag, worker_count
-from spendwatch.operators import alerts, backtest, baseline, globs, pricing, published, replay, scoring, sinks, usage
+from spendwatch.operators import alerts, backtest, baseline, daily, globs, latest, pricing, published, replay, scoring, sinks, usage
 from spendwatch.plans import streams
 from spendwatch.plans.inputs import Inputs, older
 from spendwatch.session import scratch_path, written
@@ -208,6 +209,16 @@ def q_latest_snapshot(i: Inputs) -> DataFrame:
         "workspace_id", "cluster_id", "snapshot_ts", "signal")
 
 
+def q_latest_state_table(i: Inputs) -> DataFrame:
+    """Scores added year by year to a table of the newest row per cluster; one year comes late and twice."""
+    path, year = scratch_path(i.spark, "latest-state"), F.date_format("snapshot_date", "yyyy")
+    staged = i.table("scores-once", _scored(i))
+    polls = [str(y) for y in range(1995, 2002)]
+    for poll in [polls[0], *polls[2:5], polls[1], *polls[5:], polls[1]]:
+        latest.add_poll(staged.where(year == poll), path, poll, fan=2)
+    return latest.latest_state(i.spark, path).select("workspace_id", "cluster_id", "snapshot_ts", "signal")
+
+
 def q_alerts_latest(i: Inputs) -> DataFrame:
     return r6(i.alerts(AL), "dbu_per_hour", "dollars_per_hour", "projected_daily_dollars", "z_score")
 
@@ -274,6 +285,25 @@ def q_rolling_baseline(i: Inputs) -> DataFrame:
     return r6(baseline.rolling_baseline(totals, B), "baseline_stddev", "baseline_mean_log", "baseline_stddev_log")
 
 
+def q_rolling_baseline_daily(i: Inputs) -> DataFrame:
+    """The baselines of each month from stored days, as of when the month was added; one month is
+    repeated after a partial first attempt."""
+    totals = i.table("day-totals", backtest.cluster_day_totals(backtest.cumulative(i.hourly(B))))
+    path = scratch_path(i.spark, "day-moments")
+    start, last = B.as_of.date() - dt.timedelta(days=B.backtest_lookback_days), B.as_of.date()
+    out = None
+    while start <= last:
+        following = (start.replace(day=1) + dt.timedelta(days=32)).replace(day=1)
+        month = totals.where((F.col("usage_date") >= F.lit(start)) & (F.col("usage_date") < F.lit(following)))
+        if out is not None:
+            daily.add_days(month.where(F.dayofmonth("usage_date") < 9), path, f"{start:%Y-%m}", B)
+        daily.add_days(month, path, f"{start:%Y-%m}", B)
+        now = written(daily.baselines_between(i.spark, path, start, following - dt.timedelta(days=1), B), "baselines")
+        out = now if out is None else out.unionByName(now)
+        start = following
+    return r6(out, "baseline_stddev", "baseline_mean_log", "baseline_stddev_log")
+
+
 def q_bad_cluster_days(i: Inputs) -> DataFrame:
     return backtest.bad_days(i.hourly(B), B)
 

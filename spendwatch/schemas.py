@@ -117,3 +117,12 @@ ALERT_COLUMNS = [
     "num_workers", "photon", "sku_name", "dbu_per_hour", "dollars_per_hour",
     "projected_daily_dollars", "z_score", "signal", "reason",
 ]
+
+# Moments of a day's positive cluster-day totals, raw and in log space.
+DAY_MOMENTS = T.StructType([
+    T.StructField("workspace_id", T.LongType()),
+    T.StructField("usage_date", T.DateType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("raw_sum", T.DecimalType(38, 12)),
+    *[T.StructField(c, T.DoubleType()) for c in ("raw_mean", "raw_m2", "log_mean", "log_m2")],
+])
