@@ -79,6 +79,18 @@ def test_best_fit_takes_the_fullest_bin_that_fits_and_bounds_open_bins():
         assert max(bins) + 1 == used
 
 
+def test_groups_are_packed_online_in_order_with_bounded_bins(spark):
+    rng = random.Random(6)
+    rows = [(i, "word " * rng.randrange(1, 700)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for bound, falling in ((3, False), (packing.OPEN_BINS, False), (packing.OPEN_BINS, True)):
+        out = packing.pack(docs, open_bins=bound, falling=falling).collect()
+        out.sort(key=lambda r: (-r.length if falling else 0, r.doc_id, r.piece))
+        plain, used = naive_best_fit([r.length for r in out], packing.CAPACITY, bound)
+        assert [packing.CAPACITY - r.offset for r in out] == [free for _, free in plain]
+        assert len({r.sequence_id for r in out}) == used
+
+
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string, offset int")).count() == 0
 
