@@ -11,8 +11,8 @@ bad documents wins, then the one that rejects fewest good ones; a cutoff that
 rejects fewer than nine bad documents for each good one is not used.  Without enough
 labelled documents no cutoff is usable and the rule rejects nothing there.
 
-Defined cases: a null text has no words; a null language is a stratum of its
-own; repeated labels of a document count once, as bad if any says so; labels
+Defined cases: a null text has no words; a null language shares the
+stratum of the empty one; repeated labels of a document count once, as bad if any says so; labels
 without a document and null labels are not used.
 """
 
