@@ -1,18 +1,19 @@
 """Chat formatting by prefix-target expansion.
 
 ``format_turns`` renders a conversation's turns, in order, as one stream of
-marked turns and gives each turn its place in that stream.  ``examples`` makes
-one example of every assistant turn: the context is everything before it, and
-only the reply is trainable.  An example refers to its context by position, so
-a conversation of n turns costs n rows and not n^2 copies of text; ``expand``
-writes the contexts out for a trainer that wants whole strings.
+marked turns and gives each turn its place in that stream.  ``with_examples``
+makes one example of every assistant turn: the context is everything before it,
+written out as a whole string, and only the reply is trainable.  The contexts of
+a conversation of n turns hold n^2 text by nature; they are streamed, some
+megabytes at a time.  ``digests`` reads every example back: its context has to be
+the stream up to its target.
 
 The template is ``<turn role=ROLE>TEXT</turn>`` and a line end.  Inside ROLE
 and TEXT a backslash becomes ``\\\\``, ``<`` becomes ``\\l`` and ``>`` becomes
 ``\\g``; so no control string can occur there, and the change is reversible.
 
 Conversations are dealt by conv_id and sorted by turn; a task streams them and
-holds one turn at a time (``expand``: one conversation's text).
+holds one turn at a time, where contexts are made or read one conversation's text.
 
 Defined cases: null roles and texts are empty; equal turn numbers go by role
 and text; null turns come first; repeated rows are repeated turns; a null
@@ -26,7 +27,6 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from spendwatch.llm.common import empty_if_null, trimmed
 
@@ -34,6 +34,7 @@ ASSISTANT = "assistant"
 HEAD, MIDDLE, TAIL = "<turn role=", ">", "</turn>\n"
 _ESCAPED = {"\\": "\\\\", "<": "\\l", ">": "\\g"}
 _PLAIN = {v[1]: k for k, v in _ESCAPED.items()}
+BATCH_CHARS = 1 << 22  # of text in a batch of examples
 _TURN = re.compile(f"{HEAD}([^<>]*){MIDDLE}([^<>]*){TAIL}", re.S)
 
 
@@ -84,41 +85,66 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
 
 def with_examples(formatted: DataFrame) -> DataFrame:
-    """The turns in their stream, each assistant turn with its example; null for the other turns."""
-    target = F.substr("formatted", F.col("target_start") - F.col("start") + 1, F.col("target_end") - F.col("target_start"))
-    return formatted.withColumn("example", F.when(F.col("target_start").isNotNull(), F.struct(
-        F.col("target_start").alias("context_end"), "target_start", "target_end", target.alias("target"))))
+    """The turns in their stream, each assistant turn with its example; null for the other turns.
 
+    An example is its context as a whole string, the target and their positions in the
+    stream; takes the rows as ``format_turns`` gives them, in order.
+    """
+    names = ["conv_id", "place", "formatted", "start", "end", "target_start", "target_end"]
+    places = ["context_end", "target_start", "target_end"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 4,
+             pa.struct([*((c, pa.int64()) for c in places), ("context", pa.string()), ("target", pa.string())])]
 
-def examples(formatted: DataFrame) -> DataFrame:
-    """One example per assistant turn: context [0, context_end), target [target_start, target_end) and its text."""
-    return with_examples(formatted).where("example is not null").select("conv_id", "place", "example.*")
-
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[*names, "example"])
 
-def expand(formatted: DataFrame) -> DataFrame:
-    """conv_id, place, context, target as whole strings, straight from ``format_turns``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, before = object(), []
         for batch in batches:
-            for conv, place, text, start, lo, hi in zip(*(batch.column(c).to_pylist() for c in range(6))):
+            rows, chars = [], 0
+            for turn in zip(*(batch.column(c).to_pylist() for c in range(7))):
+                conv, _, text, start, _, lo, hi = turn
                 if conv != current:
                     current, before = conv, []
+                example = None
                 if lo is not None:
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([conv], pa.int64()), pa.array([place], pa.int64()),
-                        pa.array(["".join(before) + text[:lo - start]]), pa.array([text[lo - start:hi - start]])],
-                        names=["conv_id", "place", "context", "target"])
+                    before = ["".join(before)]
+                    example = dict(zip(places, (lo, lo, hi)), context=before[0] + text[:lo - start], target=text[lo - start:hi - start])
+                    chars += len(example["context"])
                 before.append(text)
+                rows.append((*turn, example))
+                chars += len(text)
+                if chars >= BATCH_CHARS:
+                    yield batch_of(rows)
+                    rows, chars = [], 0
+            if rows:
+                yield batch_of(rows)
 
-    return formatted.select("conv_id", "place", "formatted", "start", "target_start", "target_end").mapInArrow(
-        run, "conv_id long, place long, context string, target string")
+    return formatted.select(*names).mapInArrow(
+        run, "conv_id long, place long, formatted string, start long, end long, target_start long, target_end long, "
+             "example struct<context_end: long, target_start: long, target_end: long, context: string, target: string>")
+
+
+def examples(formatted: DataFrame) -> DataFrame:
+    """One example per assistant turn: context [0, context_end) and target [target_start, target_end) with their texts."""
+    return with_examples(formatted).where("example is not null").select("conv_id", "place", "example.*")
+
+
+def expand(formatted: DataFrame) -> DataFrame:
+    """conv_id, place, context, target as whole strings, straight from ``format_turns``."""
+    return examples(formatted).select("conv_id", "place", "context", "target")
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What each conversation says, read back from its formatted turns, and what its examples train on."""
+    """What each conversation says, read back from its formatted turns, and what its examples train on.
+
+    Every context is compared with the stream as read so far, so an example that misses a
+    part of its prefix is an error.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
         state: list | None = None
+        stream: list[str] = []
 
         def row(s: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([
@@ -136,21 +162,23 @@ def digests(formatted: DataFrame) -> DataFrame:
                 if state is None or conv != state[0]:
                     if state is not None:
                         done.append(row(state))
-                    state = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+                    state, stream = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0], []
                 role, said = parse_turn(text)
                 state[1] += 1
                 state[2].update(f"{role}\n{said}\n".encode())
                 if target is not None:
-                    # The context ends where the reply begins in the stream as read so far.
-                    if start != state[5] or text[context - start:] != target + TAIL:
+                    # The context is the stream as read so far, up to the reply.
+                    stream = ["".join(stream)]
+                    if start != state[5] or context != stream[0] + text[:len(context) - start] or text[len(context) - start:] != target + TAIL:
                         raise ValueError("an example does not fit its stream")
                     target = unescape(target)
                     state[3] += len(target)
                     state[4].update(target.encode())
+                stream.append(text)
                 state[5] = end
             yield from merged(done)
         if state is not None:
             yield row(state)
 
-    return with_examples(formatted).select("conv_id", "formatted", "start", "end", "example.context_end", "example.target").mapInArrow(
+    return with_examples(formatted).select("conv_id", "formatted", "start", "end", "example.context", "example.target").mapInArrow(
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")

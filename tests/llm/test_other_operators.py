@@ -364,3 +364,22 @@ def test_digests_take_their_loss_from_the_examples(spark, monkeypatch):
     own = chat_format.with_examples
     monkeypatch.setattr(chat_format, "with_examples", lambda f: own(f).withColumn("example", F.when(F.col("conv_id") == 1, F.col("example"))))
     assert {r.conv_id: r.loss_chars for r in chat_format.digests(formatted).collect()} == {1: 3, 2: 0}
+
+
+def test_examples_carry_their_whole_prefix_and_digests_read_it(spark, monkeypatch):
+    rows = [(1, k, "assistant" if k % 2 else "user", f"<{k}é>" * k, 0) for k in range(9)] + [(2, 0, "assistant", "x", 0)]
+    monkeypatch.setattr(chat_format, "BATCH_CHARS", 40)
+    formatted = chat_format.format_turns(turns(spark, rows))
+    streams = {}
+    for r in chat_format.with_examples(formatted).collect():
+        before = streams.get(r.conv_id, "")
+        streams[r.conv_id] = before + r.formatted
+        assert (r.example is None) == (r.target_start is None)
+        if r.example is not None:
+            assert r.example.context + r.example.target + chat_format.TAIL == streams[r.conv_id]
+            assert r.example.context.startswith(before) and len(r.example.context) == r.example.context_end
+    own = chat_format.with_examples
+    short = F.struct(F.lit("").alias("context"), F.col("example.target").alias("target"))
+    monkeypatch.setattr(chat_format, "with_examples", lambda f: own(f).withColumn("example", F.when(F.col("example").isNotNull(), short)))
+    with pytest.raises(Exception, match="does not fit its stream"):
+        chat_format.digests(formatted).collect()
