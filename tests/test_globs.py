@@ -58,3 +58,33 @@ def test_long_lists_exclude_as_short_ones_do(spark, monkeypatch):
     monkeypatch.setattr(usage, "INLINE_GLOBS", 1000)
     monkeypatch.setattr(R, "INLINE_GLOBS", 1000)
     assert long == both()
+
+
+def test_patterns_are_looked_up_by_long_literals(spark):
+    """Ten times the names and patterns have about ten times the candidates, not a hundred times."""
+    assert globs.lookups("*-urgent-12345?")["123"] == globs.WITHIN + "urgent-12345"
+    assert globs.lookups("*-12345")["123"] == globs.LAST + "-12345" + globs.END
+    assert set(globs.lookups("job-7").values()) == {globs.WHOLE + globs.START + "job-7" + globs.END}
+
+    def candidates(n):
+        names = spark.range(n).selectExpr("concat('team-urgent-', 100000 + id * 37 % 10007) AS cluster_name")
+        rules = spark.range(n).selectExpr("id AS rule_order", "concat('*-', 100000 + id * 37 % 10007) AS pattern")
+        marked = globs.marked_names(names, "cluster_name")
+        asked = globs.rarest_parts(marked, rules.unionAll(rules.selectExpr("rule_order + 100000", "pattern")))
+        assert asked.count() == n
+        kinds = {(r.part[0], len(r.part) - 1) for r in asked.select("part").collect()}
+        return globs.name_parts(marked, sorted(kinds)).join(asked, "part").count()
+
+    assert candidates(200) == 200 and candidates(2000) == 2000
+
+
+def test_few_and_many_kinds_of_parts_agree(spark, monkeypatch):
+    names = [f"{'ab'[k % 2]}-urgent-{k * 7919 % 1000}" for k in range(300)]
+    rules = [(k, p.format(k * 7919 % 1000)) for k in range(200) for p in ("*-{}", "a-*{}?", "?-urgent-{}*", "*gent*{}*", "b-urgent-{}")]
+    frames = (spark.createDataFrame([(n,) for n in names], "cluster_name string"), "cluster_name",
+              spark.createDataFrame(rules, "rule_order long, pattern string"))
+    got = []
+    for few in (globs.FEW, 150, 0):
+        monkeypatch.setattr(globs, "FEW", few)
+        got.append({r["name"]: (r.rule_order, r.pattern) for r in globs.first_matching(*frames).collect()})
+    assert got[0] == got[1] == got[2] == first(set(names), rules)
