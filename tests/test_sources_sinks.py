@@ -71,3 +71,37 @@ def test_rules_come_from_a_table(spark):
     bad = spark.createDataFrame([(1, "nonsense", "x")], S.EXCLUSION_RULES)
     with pytest.raises(ValueError, match="nonsense"):
         ExclusionRules.from_frame(bad)
+
+
+def test_json_arrays_stay_small_however_many_rows(spark):
+    """Equal rows too: each file is one array of at most so many rows, and all rows come back."""
+    from spendwatch.sources.readers import rate_card_scan, write_json_arrays
+    card = spark.range(0, 1000, 1, 2).selectExpr("CASE WHEN id < 900 THEN 'same \"é\"' ELSE concat('n', id) END AS instance",
+                                                 "CASE WHEN id % 2 = 0 THEN 'c' END AS compute", "'Premium' AS plan", "1.5D AS dburate")
+    path = write_json_arrays(card, scratch_path(spark, "card-arrays").removeprefix("file:"), rows_per_file=150)
+    sizes = []
+    for folder, _, files in os.walk(path):
+        for name in files:
+            if name.startswith("part-"):
+                with open(os.path.join(folder, name)) as fh:
+                    sizes.append(len(json.load(fh)))
+    assert sum(sizes) == 1000 and max(sizes) <= 150
+    assert sorted(map(str, rate_card_scan(spark, path).collect())) == sorted(map(str, card.collect()))
+    empty = write_json_arrays(card.limit(0), scratch_path(spark, "card-arrays"))
+    assert rate_card_scan(spark, empty).count() == 0
+
+
+def test_json_arrays_read_as_by_the_file_reader(spark):
+    """Numbers as text, indents, single objects, empty, broken and null files."""
+    from spendwatch.sources import readers
+    texts = ['[{"instance": "a", "dburate": 1.50}, {"instance": "é", "dburate": "2.5", "plan": null, "x": [1]}]', '{"instance": "one", "dburate": 1e2}',
+             "", " \n", "[]", '[{"instance": "b"', "[\n  {\n \"compute\": 7, \"dburate\": 0.1}\n]\n", "\ufeff" + '[{"instance": "bom", "dburate": 3}]',
+             '[{"instance": {"k": 1.0}, "dburate": 1.25}]']
+    for k, text in enumerate(texts):
+        path = scratch_path(spark, f"card-{k}").removeprefix("file:")
+        os.makedirs(path)
+        with open(os.path.join(path, "card.json"), "w") as fh:
+            fh.write(text)
+        old = spark.read.schema(readers._RATE_CARD_JSON).option("multiLine", True).json(path)
+        want = old.select("instance", "compute", "plan", old.dburate.cast("double").alias("dburate")).collect()
+        assert list(map(str, rate_card_scan(spark, path).collect())) == list(map(str, want)), text
