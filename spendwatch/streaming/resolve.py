@@ -7,8 +7,9 @@ The state is the time of an open alert's last snapshot and has one event-time ti
 so a cluster that is deleted while flagged is resolved without any further row.
 Clusters without an open alert hold no state.
 
-Rows of a cluster in one micro-batch are sorted in time by the task; of rows with
-one time the first by the score order counts, as in ``alerts_latest``.
+Rows of a cluster in one micro-batch are sorted in time by the task, with only the
+columns that decide; of rows with one time the first by the score order counts, as in
+``alerts_latest``.
 """
 
 from __future__ import annotations
@@ -42,16 +43,15 @@ class OpenAlert(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         state = self.seen.get()
         before = last = state[0] if state is not None else None
-        taken = None
-        for row in sorted(rows, key=self._order):
+        firsts = {}
+        for row in rows:
             at = row["micros"]
-            if at == taken:
-                continue
-            taken = at
+            firsts[at] = min(firsts[at], row, key=self._order) if at in firsts else row
+        for at in sorted(firsts):
             if last is not None and at > last + self.recency:
                 yield self._resolved(key, last + self.recency, "silent")
                 last = None
-            if row["signal"] in ALERT_SIGNALS:
+            if firsts[at]["signal"] in ALERT_SIGNALS:
                 last = at
             elif last is not None:
                 yield self._resolved(key, at, "recovered")
@@ -76,7 +76,7 @@ class OpenAlert(StatefulProcessor):
         return Row(workspace_id=key[0], cluster_id=key[1], resolved_micros=micros, why=why)
 
     def _order(self, row: Row) -> tuple:
-        return (row["micros"], *((row[c] is not None, row[c] if row[c] is not None else 0) for c in self.ties))
+        return tuple((row[c] is not None, row[c] if row[c] is not None else 0) for c in self.ties)
 
     def close(self) -> None:
         pass
@@ -86,7 +86,8 @@ def resolved_stream(scores: DataFrame, p: Params, delay: str = "2 hours") -> Dat
     """workspace_id, cluster_id, resolved_at, why: the ends of alerts in a stream of scored snapshots."""
     workers_import(scores.sparkSession)
     ties = [c for c in SCORE_TIEBREAK if c in scores.columns]
-    rows = scores.withWatermark("snapshot_ts", delay).withColumn("micros", F.unix_micros("snapshot_ts"))
+    rows = (scores.select(*dict.fromkeys([*KEYS, "snapshot_ts", "signal", *ties])).withWatermark("snapshot_ts", delay)
+            .withColumn("micros", F.unix_micros("snapshot_ts")))
     out = rows.groupBy(*KEYS).transformWithState(OpenAlert(p.alert_recency, ties), RESOLVED, "Append", "EventTime")
     return out.select(*KEYS, F.timestamp_micros("resolved_micros").alias("resolved_at"), "why")
 
