@@ -54,3 +54,26 @@ def test_late_and_open_hours_come_from_the_ledger(spark):
     want = i.hourly(fx.BACKTEST_PARAMS)
     columns = ["workspace_id", "usage_date", "hour_ts", "hour_of_day", "cluster_id", "dbus", "dollars"]
     assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+
+
+def test_arrivals_have_more_files_and_not_larger_ones(spark, monkeypatch):
+    rows = spark.range(20_000).selectExpr("id", "xxhash64(id) AS x")
+    table, few, many = (scratch_path(spark, n) for n in ("table", "few", "many"))
+    rows.write.parquet(table)
+    streams._arrive(spark.read.parquet(table), few)
+    monkeypatch.setattr(streams, "FILE_BYTES", 10_000)
+    streams._arrive(spark.read.parquet(table), many)
+    assert len(spark.read.parquet(few).inputFiles()) == streams.FILES and len(spark.read.parquet(many).inputFiles()) > 15
+    assert spark.read.parquet(many).distinct().count() == 20_000
+
+
+def test_streams_score_the_inventory_once(spark, monkeypatch):
+    """Each stream feeds its arrivals from one written table, not from a plan run again for every arrival."""
+    read = []
+    own = streams._arrive
+    monkeypatch.setattr(streams, "_arrive", lambda part, path: (read.append(part.inputFiles()), own(part, path)))
+    for run, p in ((streams.scores_from_inventory, fx.SCORING_PARAMS), (streams.suppression_from_alerts, fx.ALERT_PARAMS),
+                   (streams.sends_from_history, fx.ALERT_PARAMS), (streams.resolved_from_scores, fx.RESOLVE_PARAMS)):
+        read.clear()
+        run(Inputs(spark, SF_SMALL), p)
+        assert len(read) > 1 and all("-once-" in f for files in read for f in files)
